@@ -17,13 +17,16 @@ SHARED_EVENT_COLUMNS = (
 )
 
 
-def ledger_order() -> list[Column]:
-    """Total order: slot, position in the block, position in the log; unknown positions last."""
-    return [
-        F.col("slot").asc(),
-        F.col("transaction_index").asc_nulls_last(),
-        F.col("log_index").asc_nulls_last(),
-    ]
+def ledger_position() -> Column:
+    """Total order as one comparable value: slot, then the position in the block, then in the log.
+    Unknown positions come last."""
+    return F.struct(
+        "slot",
+        F.col("transaction_index").isNull().alias("no_index"),
+        "transaction_index",
+        F.col("log_index").isNull().alias("no_log"),
+        "log_index",
+    )
 
 
 def asof_join(

@@ -19,23 +19,28 @@ _DOCUMENT = (
 )
 
 
+def parse_documents(files: DataFrame) -> DataFrame:
+    """(protocol, path, content) to protocol, path, sha256 and the parsed body."""
+    return files.select(
+        "protocol",
+        "path",
+        F.sha2("content", 256).alias("sha256"),
+        F.from_json(F.col("content").cast("string"), _DOCUMENT).alias("doc"),
+    )
+
+
 def read_catalog_documents(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """One row per document: protocol, path, sha256, parsed body."""
+    """One row per schema document."""
     frames = [
         spark.read.format("binaryFile")
         .load(path)
-        .select(
-            F.lit(protocol).alias("protocol"),
-            F.col("path"),
-            F.sha2("content", 256).alias("sha256"),
-            F.from_json(F.col("content").cast("string"), _DOCUMENT).alias("doc"),
-        )
+        .select(F.lit(protocol).alias("protocol"), "path", "content")
         for protocol, path in paths.items()
     ]
-    merged = frames[0]
+    files = frames[0]
     for frame in frames[1:]:
-        merged = merged.unionByName(frame)
-    return merged
+        files = files.unionByName(frame)
+    return parse_documents(files)
 
 
 def event_rows(documents: DataFrame) -> DataFrame:
