@@ -1,4 +1,4 @@
-"""Identities and epoch helpers that do not depend on the session time zone."""
+"""Identities, byte order, and epoch helpers that do not depend on the session time zone."""
 
 from __future__ import annotations
 
@@ -31,3 +31,15 @@ def received_hour(received_at: Column) -> Column:
     """Two-digit UTC hour."""
     hours = F.floor(F.unix_micros(received_at) / F.lit(3_600_000_000)) % F.lit(24)
     return F.lpad(hours.cast("string"), 2, "0")
+
+
+def swap_bytes(value: Column) -> Column:
+    """A BIGINT with its eight bytes in the opposite order; plain arithmetic, no text."""
+    pairs, words = F.lit(0x00FF00FF00FF00FF), F.lit(0x0000FFFF0000FFFF)
+
+    def swap(x: Column, mask: Column, bits: int) -> Column:
+        low = F.shiftleft(x.bitwiseAND(mask), bits)
+        return low.bitwiseOR(F.shiftrightunsigned(x, bits).bitwiseAND(mask))
+
+    halves = swap(swap(value, pairs, 8), words, 16)
+    return F.shiftleft(halves, 32).bitwiseOR(F.shiftrightunsigned(halves, 32))

@@ -10,45 +10,39 @@ _KEY = "[1-9A-HJ-NP-Za-km-z]+"
 INVOKE = rf"^Program ({_KEY}) invoke \[\p{{Nd}}+\]\n?\z"
 EXIT = rf"^Program ({_KEY}) (?:success|failed: [^\n]+)\n?\z"
 DATA_PREFIX = "Program data: "
-STRICT_BASE64 = r"^([A-Za-z0-9+/]{4})*([A-Za-z0-9+/]{2}==|[A-Za-z0-9+/]{3}=)?\z"
+# One flat character class: a repeated group would recurse once per repetition in Java.
+STRICT_BASE64 = r"^[A-Za-z0-9+/]*+={0,2}\z"
 
 HITS = "array<struct<log_index: int, program_id: string, raw: binary>>"
 
 
 def strict_base64(text: Column) -> Column:
     """Bytes of strictly formed base64; null for anything else."""
-    return F.when(text.rlike(STRICT_BASE64), F.unbase64(text))
+    strict = (F.length(text) % 4 == 0) & text.rlike(STRICT_BASE64)
+    return F.when(strict, F.unbase64(text))
 
 
 def _steps(logs: Column) -> Column:
-    """The log lines that matter, as (index, kind, program, raw); others are dropped."""
-
-    def classify(line: Column, index: Column) -> Column:
-        invoked = F.regexp_extract(line, INVOKE, 1)
-        left = F.regexp_extract(line, EXIT, 1)
-        kind = (
-            F.when(invoked != "", "invoke")
-            .when(left != "", "exit")
-            .when(line.startswith(DATA_PREFIX), "data")
-        )
-        raw = F.when(
-            line.startswith(DATA_PREFIX),
-            strict_base64(F.substr(line, F.lit(len(DATA_PREFIX) + 1))),
-        )
+    """The log lines that matter, as (log_index, entered, left, raw); others are dropped.
+
+    Plain substring tests come first, so that a regex runs only on likely lines.
+    """
+
+    def read(line: Column, index: Column) -> Column:
+        data = line.startswith(DATA_PREFIX)
+        enters = ~data & line.contains(" invoke [")
+        leaves = ~data & (line.contains(" success") | line.contains(" failed: "))
         return F.struct(
             index.cast("int").alias("log_index"),
-            kind.alias("kind"),
-            F.when(invoked != "", invoked).otherwise(left).alias("program"),
-            raw.alias("raw"),
+            F.when(enters, F.nullif(F.regexp_extract(line, INVOKE, 1), F.lit(""))).alias("entered"),
+            F.when(leaves, F.nullif(F.regexp_extract(line, EXIT, 1), F.lit(""))).alias("left"),
+            F.when(data, strict_base64(F.substr(line, F.lit(len(DATA_PREFIX) + 1)))).alias("raw"),
         )
 
-    # Keep the original index: number first, then drop the lines that play no part.
-    numbered = F.filter(
-        F.transform(logs, lambda line, i: F.struct(line.alias("line"), i.alias("i"))),
-        lambda x: x["line"].startswith("Program "),
+    return F.filter(
+        F.transform(logs, read),
+        lambda s: s["entered"].isNotNull() | s["left"].isNotNull() | s["raw"].isNotNull(),
     )
-    steps = F.transform(numbered, lambda x: classify(x["line"], x["i"]))
-    return F.filter(steps, lambda s: s["kind"].isin("invoke", "exit") | s["raw"].isNotNull())
 
 
 def program_data(logs: Column) -> Column:
@@ -71,11 +65,11 @@ def program_data(logs: Column) -> Column:
             s["raw"].alias("raw"),
         )
         return F.struct(
-            F.when(s["kind"] == "invoke", F.array_append(stack, s["program"]))
-            .when(s["kind"] == "exit", pop(stack, s["program"]))
+            F.when(s["entered"].isNotNull(), F.array_append(stack, s["entered"]))
+            .when(s["left"].isNotNull(), pop(stack, s["left"]))
             .otherwise(stack)
             .alias("stack"),
-            F.when((s["kind"] == "data") & (F.size(stack) > 0), F.array_append(hits, hit))
+            F.when(s["raw"].isNotNull() & (F.size(stack) > 0), F.array_append(hits, hit))
             .otherwise(hits)
             .alias("hits"),
         )

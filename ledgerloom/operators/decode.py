@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.base58 import b58encode
 from ledgerloom.functions.borsh import payload_decoder
-from ledgerloom.functions.ids import event_id
+from ledgerloom.functions.ids import event_id, swap_bytes
 from ledgerloom.operators.attribution import attribute, match_events
 from ledgerloom.schemas import EVENTS, UNKNOWN
 from ledgerloom.sources.catalog import Catalog
@@ -114,15 +114,15 @@ _FIXED = {
 def little_endian(raw: Column, offset: int, kind: str) -> Column:
     """Integer at a fixed byte offset with built-ins only, as DECIMAL(20,0)."""
     size, signed = _FIXED[kind]
-    text = F.hex(F.substring(raw, offset + 1, size))
-    big = F.array_join(F.reverse(F.regexp_extract_all(text, F.lit("(..)"), 1)), "")
-    value = F.conv(big, 16, 10).cast("decimal(20,0)")
+    stored = F.conv(F.hex(F.substring(raw, offset + 1, size)), 16, -10).cast("bigint")
+    # The bytes read land in the low end; moved to the high end and swapped, they are in place.
+    unused = 64 - 8 * size
+    value = swap_bytes(F.shiftleft(stored, unused))
     if signed:
-        half, full = 1 << (8 * size - 1), 1 << (8 * size)
-        full_range = F.lit(str(full)).cast("decimal(20,0)")
-        negative = value >= F.lit(str(half)).cast("decimal(20,0)")
-        value = F.when(negative, value - full_range).otherwise(value)
-    return value.cast("decimal(20,0)")
+        return F.shiftright(F.shiftleft(value, unused), unused).cast("decimal(20,0)")
+    exact = value.cast("decimal(20,0)")
+    wrapped = F.lit(str(1 << 64)).cast("decimal(20,0)")
+    return F.when(value < 0, exact + wrapped).otherwise(exact).cast("decimal(20,0)")
 
 
 def decode_fixed(df: DataFrame, layout: list[tuple[str, str]], raw: str = "raw") -> DataFrame:
@@ -136,11 +136,7 @@ def decode_fixed(df: DataFrame, layout: list[tuple[str, str]], raw: str = "raw")
     for name, kind in layout:
         fields.append((name, kind, offset))
         offset += _FIXED[kind][0]
-    whole = F.octet_length(raw) == offset
+    whole = F.when(F.octet_length(raw) == offset, F.col(raw))
     return df.select(
-        "*",
-        *[
-            F.when(whole, little_endian(F.col(raw), start, kind)).alias(name)
-            for name, kind, start in fields
-        ],
+        "*", *[little_endian(whole, start, kind).alias(name) for name, kind, start in fields]
     )

@@ -13,7 +13,9 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.ids import swap_bytes
 from ledgerloom.schemas import EVENT_CATALOG, FIELD_CATALOG
+from ledgerloom.session import prepare, spread
 from ledgerloom.sources.catalog import Catalog, build_catalog
 
 # Invented program names of the derived ledger.
@@ -35,8 +37,7 @@ def sql_text(template: str, engine: str) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table; the session works in UTC, as the tables do."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def select(df: DataFrame, template: str) -> DataFrame:
@@ -263,9 +264,8 @@ def ledger_catalog(spark: SparkSession) -> Catalog:
 
 def little_endian_hex(value: Column, size: int) -> Column:
     """Little-endian hex of a BIGINT, two's complement."""
-    text = F.lpad(F.hex(value.cast("bigint")), 16, "0")
-    pairs = [F.substring(text, 17 - 2 * (i + 1), 2) for i in range(size)]
-    return F.concat(*pairs)
+    text = F.lpad(F.hex(swap_bytes(value.cast("bigint"))), 16, "0")
+    return F.substring(text, 1, 2 * size)
 
 
 def _encode(kind: str, value: Column) -> Column:
@@ -287,7 +287,7 @@ def payload_hex(program: str, event: str, values: dict[str, Column]) -> Column:
 
 def data_line(payload: Column) -> Column:
     # Spark breaks long base64 into lines; the wire format does not.
-    text = F.regexp_replace(F.base64(F.unhex(payload)), r"\s", "")
+    text = F.replace(F.base64(F.unhex(payload)), F.lit("\r\n"), F.lit(""))
     return F.concat(F.lit("Program data: "), text)
 
 
@@ -318,7 +318,7 @@ def trade_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Line 6 carries a trailing byte, line 7 an unknown discriminator; both must be quarantined.
     """
-    rows = select(table(spark, sf_dir, "lineitem"), TRADES_SQL)
+    rows = select(spread(table(spark, sf_dir, "lineitem")), TRADES_SQL)
     when = F.col("seconds")
     curve = payload_hex(
         CURVE, "TradeEvent",
@@ -392,7 +392,7 @@ o_orderdate: o_orderdate
 def lifecycle_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per order: a curve completes, and inside it a pool is created, then the
     curve migrates. Both programs speak in the same log."""
-    rows = select(table(spark, sf_dir, "orders"), ORDERS_SQL)
+    rows = select(spread(table(spark, sf_dir, "orders")), ORDERS_SQL)
     when = F.col("seconds")
     keys = {
         "user": F.col("user_key"), "creator": F.col("user_key"), "mint": F.col("mint_key"),

@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 # Rows a side may have at most to be broadcast. Larger sides are joined by shuffle.
 BROADCAST_ROWS = 100_000
 
+# What every job relies on, also in a session it did not build. The JVM does not compile methods
+# over 8000 bytes, so a wide projection must not be fused into one.
+SESSION = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Apply the settings of ``SESSION`` to a running session."""
+    for key, value in SESSION.items():
+        spark.conf.set(key, value)
+    return spark
+
 
 def build_session(app: str = "ledgerloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the jobs are written for; ``conf`` overrides any of them."""
@@ -19,11 +33,11 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        **SESSION,
         **conf,
     }
     for key, value in settings.items():
@@ -59,3 +73,9 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores when the input has fewer splits than that (unsplittable or small files)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
