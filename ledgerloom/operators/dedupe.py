@@ -25,6 +25,21 @@ def dedupe_transactions(envelopes: DataFrame, order: str = "replay_order") -> Da
     return first_by(envelopes, ["signature"], [order])
 
 
+def first_copies(envelopes: DataFrame, order: str = "replay_order") -> DataFrame:
+    """``dedupe_transactions`` plus how many copies, and log copies, each signature had."""
+    columns = envelopes.columns
+    logs = F.count_if(F.col(order)["kind"] == 0)
+    return (
+        envelopes.groupBy("signature")
+        .agg(
+            F.min_by(F.struct(*columns), order).alias("row"),
+            F.count("*").alias("copies"),
+            logs.alias("log_copies"),
+        )
+        .select("row.*", "copies", "log_copies")
+    )
+
+
 def dedupe_events(events: DataFrame, order: list[str] | None = None) -> DataFrame:
     """First row per event id."""
     return first_by(events, ["event_id"], order or ["slot", "received_at", "signature"])

@@ -32,17 +32,15 @@ class BacklogOverflow(RuntimeError):
     """The backlog would exceed its capacity."""
 
 
-def rebuild_summary(raw: DataFrame, event_ids: DataFrame) -> DataFrame:
-    """Row counts of a rebuild; ``events`` counts event and quarantine ids together.
+def rebuild_summary(first: DataFrame, event_ids: DataFrame) -> DataFrame:
+    """Row counts of a rebuild, from the first copies and the written ids.
 
-    Signatures are counted before they are compared, so a hot one costs one row per task.
+    ``events`` counts event and quarantine ids together; first-wins makes both unique.
     """
     names = ("raw_rows", "raw_log_rows", "raw_transaction_rows", "unique_transactions", "events")
-    logs = F.count_if(F.col("replay_order.kind") == 0)
-    per_key = raw.groupBy("signature").agg(F.count("*").alias("n"), logs.alias("logs"))
-    left = per_key.select("n", "logs", F.col("n") - F.col("logs"), F.lit(1), F.lit(0)).toDF(*names)
-    zero = [F.lit(0)] * 4
-    right = event_ids.select("event_id").distinct().select(*zero, F.lit(1)).toDF(*names)
+    logs = F.col("log_copies")
+    left = first.select("copies", logs, F.col("copies") - logs, F.lit(1), F.lit(0)).toDF(*names)
+    right = event_ids.select(*[F.lit(0)] * 4, F.lit(1)).toDF(*names)
     return left.unionByName(right).agg(
         *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in names]
     )

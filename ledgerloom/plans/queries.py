@@ -17,7 +17,7 @@ from ledgerloom.plans import views
 from ledgerloom.plans.rebuild import derive, write_version
 from ledgerloom.plans.recover import recover
 from ledgerloom.schemas import RAW_LOG, TYPED_DATASETS
-from ledgerloom.session import scratch_path
+from ledgerloom.session import scratch_path, spread
 from ledgerloom.sources import catalog as catalogs
 from ledgerloom.sources import raw as raws
 from ledgerloom.streaming.collect import Collector
@@ -176,13 +176,10 @@ def rebuild_datasets(spark, sf_dir):
 
 @query
 def rebuild_summary(spark, sf_dir):
-    raw = views.obs(spark, sf_dir)
-    first = dedupe.dedupe_transactions(raw).filter("NOT failed")
-    ids = first.select(
-        event_id(F.col("signature"), F.col("source_program"), F.col("kind"), F.lit("program-data"))
-        .alias("event_id")
-    )
-    return metrics.rebuild_summary(raw, ids)
+    first = dedupe.first_copies(views.obs(spark, sf_dir))
+    part = [F.col("signature"), F.col("source_program"), F.col("kind"), F.lit("program-data")]
+    ids = first.filter("NOT failed").select(event_id(*part).alias("event_id"))
+    return metrics.rebuild_summary(first, ids)
 
 
 # --- RAW rows and files --------------------------------------------------------------------------
@@ -422,7 +419,7 @@ _FIXED = [("part", "u64"), ("supp", "u32"), ("line", "u8"), ("delta", "i64"), ("
 @query
 def decode_fixed_width(spark, sf_dir):
     """Line item integers encoded little-endian and decoded again inside the JVM."""
-    items = views.table(spark, sf_dir, "lineitem")
+    items = spread(views.table(spark, sf_dir, "lineitem"))
     delta = -(F.col("l_orderkey") + F.col("l_partkey"))
     encoded = F.concat(
         F.lit("0102030405060708"),

@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import swap_bytes
-from ledgerloom.schemas import EVENT_CATALOG, FIELD_CATALOG
 from ledgerloom.session import prepare, spread
-from ledgerloom.sources.catalog import Catalog, build_catalog
+from ledgerloom.sources.catalog import Catalog, catalog_of
 
 # Invented program names of the derived ledger.
 CURVE = "CurveProgram1111"
@@ -257,9 +256,7 @@ def ledger_catalog(spark: SparkSession) -> Catalog:
         for e, layout in layouts.items()
         for i, (name, kind) in enumerate(layout)
     ]
-    return build_catalog(
-        spark.createDataFrame(events, EVENT_CATALOG), spark.createDataFrame(fields, FIELD_CATALOG)
-    )
+    return catalog_of(spark, events, fields)
 
 
 def little_endian_hex(value: Column, size: int) -> Column:

@@ -37,6 +37,7 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **SESSION,
         **conf,
     }

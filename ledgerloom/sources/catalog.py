@@ -127,24 +127,28 @@ class Catalog:
 
 def build_catalog(events: DataFrame, fields: DataFrame) -> Catalog:
     """Collect the (size-checked) catalog tables once; they are configuration, not data."""
-    event_list = _bounded(events.select(*EVENT_CATALOG.fieldNames()))
-    field_list = _bounded(fields.select(*FIELD_CATALOG.fieldNames()))
-    spark = events.sparkSession
-    layouts: dict[str, dict] = {row.program_id: {} for row in event_list}
-    ordered = sorted(field_list, key=lambda r: (r.program_id, r.type_name, r.position or 0))
-    for row in ordered:
-        types = layouts.setdefault(row.program_id, {})
-        kind, members = types.setdefault(row.type_name, (row.kind, []))
-        if row.position is None:
+    return catalog_of(
+        events.sparkSession,
+        _bounded(events.select(*EVENT_CATALOG.fieldNames())),
+        _bounded(fields.select(*FIELD_CATALOG.fieldNames())),
+    )
+
+
+def catalog_of(spark: SparkSession, events: list, fields: list) -> Catalog:
+    """Catalog from rows of the two tables, in the column order of their schemas."""
+    layouts: dict[str, dict] = {program: {} for _, program, _, _ in events}
+    ordered = sorted(fields, key=lambda row: (row[0], row[1], row[3] or 0))
+    for program, type_name, type_kind, position, field_name, field_type in ordered:
+        kind, members = layouts.setdefault(program, {}).setdefault(type_name, (type_kind, []))
+        if position is None:
             continue
-        spec = json.loads(row.field_type) if row.field_type else None
+        spec = json.loads(field_type) if field_type else None
         if kind == "enum":
             spec = [_member(m) for m in spec or []]
-        members.append((row.field_name, spec))
-    local = spark.createDataFrame([tuple(r) for r in event_list], EVENT_CATALOG)
-    programs = sorted({(r.program_id, r.protocol) for r in event_list})
+        members.append((field_name, spec))
+    programs = sorted({(program, protocol) for protocol, program, _, _ in events})
     return Catalog(
-        events=local,
+        events=spark.createDataFrame([tuple(e) for e in events], EVENT_CATALOG),
         programs=spark.createDataFrame(programs, "program_id string, protocol string"),
         layouts=layouts,
     )
