@@ -651,10 +651,9 @@ clean AS (SELECT kind, id, regexp_replace(regexp_replace(
     '\1REDACTED', 'gi'), '(/v2/)([^/?#{_BLANKS}"'']+)', '\1REDACTED', 'gi') AS text FROM docs)
 SELECT kind, id, sha256(text) AS digest, CAST(length(text) AS INT) AS size FROM clean"""
 ORACLE["known_secrets"] = """
-WITH secret AS (SELECT s_suppkey FROM supplier WHERE s_nationkey = 3)
-SELECT CASE WHEN s_suppkey IS NULL THEN 'error k' || l_suppkey || 'zz and q' || l_suppkey || 'ww'
+SELECT CASE WHEN n_nationkey IS NULL THEN 'error k' || l_suppkey || 'zz and q' || l_suppkey || 'ww'
   ELSE 'error REDACTED and REDACTED' END AS text, count(*) AS n
-FROM lineitem LEFT JOIN secret ON l_suppkey = s_suppkey GROUP BY 1"""
+FROM lineitem LEFT JOIN nation ON l_suppkey = n_nationkey GROUP BY 1"""
 ORACLE["insecure_urls"] = f"""
 WITH {_URLS}
 SELECT page_id, CASE WHEN scheme <> 'https' THEN 'URL must use https://'

@@ -851,11 +851,11 @@ def redact_nested(spark, sf_dir):
 
 @query
 def known_secrets(spark, sf_dir):
-    """Secrets of the suppliers' endpoints removed from text that mentions them."""
-    endpoints = views.table(spark, sf_dir, "supplier").filter("s_nationkey = 3").select(
-        F.concat(F.lit("https://rpc.example/v2/k"), F.col("s_suppkey").cast("string"),
-                 F.lit("zz?api_key=q"), F.col("s_suppkey").cast("string"), F.lit("ww&x=1"))
-        .alias("url")
+    """Secrets of one configured endpoint per nation removed from text that mentions them."""
+    number = F.col("n_nationkey").cast("string")
+    endpoints = views.table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("https://rpc.example/v2/k"), number, F.lit("zz?api_key=q"), number,
+                 F.lit("ww&x=1")).alias("url")
     )
     secrets = scrub.known_secrets(endpoints)
     text = F.concat(
