@@ -10,16 +10,18 @@ _KEY = "[1-9A-HJ-NP-Za-km-z]+"
 INVOKE = rf"^Program ({_KEY}) invoke \[\p{{Nd}}+\]\n?\z"
 EXIT = rf"^Program ({_KEY}) (?:success|failed: [^\n]+)\n?\z"
 DATA_PREFIX = "Program data: "
-# One flat character class: a repeated group would recurse once per repetition in Java.
-STRICT_BASE64 = r"^[A-Za-z0-9+/]*+={0,2}\z"
-
 HITS = "array<struct<log_index: int, program_id: string, raw: binary>>"
 
 
-def strict_base64(text: Column) -> Column:
-    """Bytes of strictly formed base64; null for anything else."""
-    strict = (F.length(text) % 4 == 0) & text.rlike(STRICT_BASE64)
-    return F.when(strict, F.unbase64(text))
+def lenient_base64(text: Column) -> Column:
+    """Bytes of padded base64. Blanks inside are still let through; ``is_strict`` finds them."""
+    return F.when(F.length(text) % 4 == 0, F.try_to_binary(text, F.lit("base64")))
+
+
+def is_strict(raw: Column, text: Column) -> Column:
+    """Every character counted: the bytes are as many as the text length and padding say."""
+    padding = F.when(text.endswith("=="), 2).when(text.endswith("="), 1).otherwise(0)
+    return F.octet_length(raw) == F.shiftright(F.length(text), 2) * 3 - padding
 
 
 def _steps(logs: Column) -> Column:
@@ -28,20 +30,24 @@ def _steps(logs: Column) -> Column:
     Plain substring tests come first, so that a regex runs only on likely lines.
     """
 
+    def payload(line: Column) -> Column:
+        return F.substr(line, F.lit(len(DATA_PREFIX) + 1))
+
     def read(line: Column, index: Column) -> Column:
         data = line.startswith(DATA_PREFIX)
         enters = ~data & line.contains(" invoke [")
         leaves = ~data & (line.contains(" success") | line.contains(" failed: "))
         return F.struct(
             index.cast("int").alias("log_index"),
-            F.when(enters, F.nullif(F.regexp_extract(line, INVOKE, 1), F.lit(""))).alias("entered"),
-            F.when(leaves, F.nullif(F.regexp_extract(line, EXIT, 1), F.lit(""))).alias("left"),
-            F.when(data, strict_base64(F.substr(line, F.lit(len(DATA_PREFIX) + 1)))).alias("raw"),
+            F.when(enters, F.regexp_extract(line, INVOKE, 1)).alias("entered"),
+            F.when(leaves, F.regexp_extract(line, EXIT, 1)).alias("left"),
+            F.when(data, lenient_base64(payload(line))).alias("raw"),
+            F.when(data, payload(line)).alias("text"),
         )
 
     return F.filter(
         F.transform(logs, read),
-        lambda s: s["entered"].isNotNull() | s["left"].isNotNull() | s["raw"].isNotNull(),
+        lambda s: (s["entered"] != "") | (s["left"] != "") | is_strict(s["raw"], s["text"]),
     )
 
 
@@ -65,8 +71,8 @@ def program_data(logs: Column) -> Column:
             s["raw"].alias("raw"),
         )
         return F.struct(
-            F.when(s["entered"].isNotNull(), F.array_append(stack, s["entered"]))
-            .when(s["left"].isNotNull(), pop(stack, s["left"]))
+            F.when(s["entered"] != "", F.array_append(stack, s["entered"]))
+            .when(s["left"] != "", pop(stack, s["left"]))
             .otherwise(stack)
             .alias("stack"),
             F.when(s["raw"].isNotNull() & (F.size(stack) > 0), F.array_append(hits, hit))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.base58 import b58encode
 from ledgerloom.functions.borsh import payload_decoder
 from ledgerloom.functions.ids import event_id, swap_bytes
+from ledgerloom.functions.pin import pin
 from ledgerloom.operators.attribution import attribute, match_events
 from ledgerloom.schemas import EVENTS, UNKNOWN
 from ledgerloom.sources.catalog import Catalog
@@ -111,18 +112,25 @@ _FIXED = {
 }
 
 
-def little_endian(raw: Column, offset: int, kind: str) -> Column:
-    """Integer at a fixed byte offset with built-ins only, as DECIMAL(20,0)."""
+def stored_integer(raw: Column, offset: int, kind: str) -> Column:
+    """The bytes of an integer as they lie, left-aligned in a BIGINT."""
+    size, _ = _FIXED[kind]
+    value = F.conv(F.hex(F.substring(raw, offset + 1, size)), 16, -10).cast("bigint")
+    return F.shiftleft(value, 64 - 8 * size)
+
+
+def little_endian(stored: Column, kind: str) -> Column:
+    """The integer in ``stored_integer`` bytes with built-ins only, as DECIMAL(20,0)."""
     size, signed = _FIXED[kind]
-    stored = F.conv(F.hex(F.substring(raw, offset + 1, size)), 16, -10).cast("bigint")
-    # The bytes read land in the low end; moved to the high end and swapped, they are in place.
-    unused = 64 - 8 * size
-    value = swap_bytes(F.shiftleft(stored, unused))
+    value = swap_bytes(stored)
     if signed:
+        unused = 64 - 8 * size
         return F.shiftright(F.shiftleft(value, unused), unused).cast("decimal(20,0)")
-    exact = value.cast("decimal(20,0)")
-    wrapped = F.lit(str(1 << 64)).cast("decimal(20,0)")
-    return F.when(value < 0, exact + wrapped).otherwise(exact).cast("decimal(20,0)")
+    if size < 8:
+        return value.cast("decimal(20,0)")
+    # A negative BIGINT stands for the upper half of the unsigned range.
+    wrap = F.when(stored.bitwiseAND(F.lit(0x80)) != 0, F.lit(str(1 << 64))).otherwise("0")
+    return (value.cast("decimal(20,0)") + wrap.cast("decimal(20,0)")).cast("decimal(20,0)")
 
 
 def decode_fixed(df: DataFrame, layout: list[tuple[str, str]], raw: str = "raw") -> DataFrame:
@@ -137,6 +145,7 @@ def decode_fixed(df: DataFrame, layout: list[tuple[str, str]], raw: str = "raw")
         fields.append((name, kind, offset))
         offset += _FIXED[kind][0]
     whole = F.when(F.octet_length(raw) == offset, F.col(raw))
-    return df.select(
-        "*", *[little_endian(whole, start, kind).alias(name) for name, kind, start in fields]
+    stored = F.struct(*[stored_integer(whole, at, kind).alias(n) for n, kind, at in fields])
+    return pin(df, "_stored", stored).select(
+        *df.columns, *[little_endian(F.col(f"_stored.{n}"), kind).alias(n) for n, kind, _ in fields]
     )

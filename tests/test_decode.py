@@ -96,6 +96,28 @@ def test_attribution_equals_a_plain_model_on_random_logs(spark):
     assert got == sorted((i, *hit) for i, logs in enumerate(cases) for hit in _model(logs))
 
 
+def test_base64_is_as_strict_as_the_wire_format(spark):
+    import base64
+    import random
+
+    rng = random.Random(11)
+    texts = ["", "=", "==", "YQ", "YQ==", "YQ= =", "Y Q==", "YQ==YQ==", "YR==", "A===", "YWJj",
+             "YWJj\n", "YWJj\r\n", "YWJjZA=\t", "YW Jj", "YWJjYW\nJj", "Y-_j", "é===", "YWJ\u00a0"]
+    texts += ["".join(rng.choice("AZaz09+/= \n") for _ in range(rng.randrange(13)))
+              for _ in range(3000)]
+    texts += [base64.b64encode(rng.randbytes(n)).decode() for n in (1, 2, 3, 300, 9000)]
+
+    def strict(text):
+        try:
+            return base64.b64decode(text, validate=True)
+        except ValueError:
+            return None
+
+    logs = ["Program AAA invoke [1]", *["Program data: " + t for t in texts]]
+    want = [(i + 1, "AAA", strict(t)) for i, t in enumerate(texts) if strict(t) is not None]
+    assert _hits(spark, logs) == want
+
+
 def test_every_type_round_trips(spark, catalog):
     logs = logs_of(PUMP, payload("pump", "EveryType", EVERY))
     row = events_of(decode(_frame(spark, [("s", False, logs)]), catalog)).first()
