@@ -6,6 +6,7 @@ Usage: python tests/compare.py [sf_dir] [query ...]
 import math
 import os
 import sys
+import tempfile
 import time
 from decimal import Decimal
 
@@ -69,7 +70,8 @@ def main():
     spark = build_session(master="local[8]", **{
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
-        "spark.driver.memory": "8g"})
+        "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-")})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     bad = 0
