@@ -8,6 +8,22 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import fold, table
 from ledgerloom.llm.exact_dedup import exact_dedup
 from ledgerloom.llm.host_rules import host_rules
+from ledgerloom.llm.lattice_lm import lattice_scores
+from ledgerloom.llm.packing import pack
+
+
+def vocabulary(name: str) -> str:
+    """Where a public vocabulary lies; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
 
 
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +40,12 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those whose id's hash is not 2 modulo 7."""
+    docs = table(spark, sf_dir, "documents")
+    return lattice_scores(docs, fold(F.col("doc_id")) % 7 != 2, vocabulary("piece_bpe_32k.model"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the documents, by a hash of the id, counts as seen before; the rest arrives."""
     docs = table(spark, sf_dir, "documents")
@@ -37,6 +59,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_packing": op2_packing,
     "op7_host_rules": op7_host_rules,
+    "op9_lattice_lm": op9_lattice_lm,
     "op10_exact_dedup": op10_exact_dedup,
 }
