@@ -13,6 +13,7 @@ need no padding either.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,28 +34,70 @@ PIECES = (
 )
 
 
+class WordIds:
+    """Ids of words, as bytes, with a bounded memory of those met before.
+
+    A word of Latin letters is one input of the vocabulary's merges as it stands, in lower case and
+    in the byte alphabet, and a full stop or comma after it is another; the model is asked for these
+    directly. Every other word goes through the whole tokenizer.
+    """
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        latin = [chr(c) for c in range(256)]
+        self.bytes = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in latin if c.isalpha()}
+        self.marks = {m: self._whole([m])[0] for m in ".,"}
+        self.known: dict[bytes, bytes] = {}
+        self.letters: dict[str, bytes] = {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _letters(self, text: str) -> bytes:
+        text = text.lower()
+        ids = self.letters.get(text)
+        if ids is None:
+            found = self.model.tokenize(text.translate(self.bytes))
+            ids = self.letters[text] = array("I", [t.id for t in found]).tobytes()
+        return ids
+
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """A mapping that holds at least ``words``."""
+        if len(self.known) + len(words) > CACHED_WORDS:
+            self.known.clear()
+            self.letters.clear()
+        others = []
+        for word in words.difference(self.known):
+            text = word.decode(errors="replace")
+            stem, mark = (text[:-1], text[-1]) if text[-1] in self.marks else (text, "")
+            if stem.isalpha() and max(stem) < "\u0100":
+                self.known[word] = self._letters(stem) + self.marks.get(mark, b"")
+            else:
+                others.append((word, text))
+        if others:
+            found = self._whole([text for _, text in others])
+            self.known.update((w, ids) for (w, _), ids in zip(others, found, strict=True))
+        return self.known
+
+
 def _tokenize(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of each text, as little-endian 32-bit integers, ended by ``end_id``.
 
     The vocabulary drops white space and no step of it looks across ASCII white space, so that the
     ids of a text are those of its words, one after the other.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    end = np.array([end_id], "<u4").tobytes()
-    known: dict[bytes, bytes] = {}
+    ids_of, end = WordIds(path), array("I", [end_id]).tobytes()
     for batch in batches:
         for first in range(0, batch.num_rows, 256):
             part = batch.slice(first, 256)
             texts = [x.split() for x in part.column("text").to_pylist()]
-            new = list(set().union(*texts).difference(known))
-            if len(known) + len(new) > CACHED_WORDS:
-                known.clear()
-                new = list(set().union(*texts))
-            found = tokenizer.encode_batch([w.decode(errors="replace") for w in new], add_special_tokens=False)
-            known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
+            known = ids_of.learn(set().union(*texts))
             ids = [b"".join([known[w] for w in words]) + end for words in texts]
             yield pa.RecordBatch.from_arrays(
                 [part.column("shard"), part.column("doc_id"), pa.array(ids, pa.binary())],
