@@ -10,6 +10,7 @@ from ledgerloom.llm.exact_dedup import exact_dedup
 from ledgerloom.llm.host_rules import host_rules
 from ledgerloom.llm.lattice_lm import lattice_scores
 from ledgerloom.llm.packing import pack
+from ledgerloom.llm.toxicity import fit, toxicity
 
 
 def vocabulary(name: str) -> str:
@@ -26,6 +27,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those whose id's hash is not 2 modulo 4."""
+    docs, fold_of = table(spark, sf_dir, "documents"), fold(F.col("doc_id")) % 4
+    model = fit(docs, table(spark, sf_dir, "labels"), fold_of != 2)
+    return toxicity(docs.select("doc_id", "text"), model).select(
+        "doc_id", (fold_of == 2).alias("held_out"), "score", "predicted"
+    )
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents judged by rules and by the record of their source."""
     return host_rules(table(spark, sf_dir, "documents")).select(
@@ -60,6 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op4_toxicity": op4_toxicity,
     "op7_host_rules": op7_host_rules,
     "op9_lattice_lm": op9_lattice_lm,
     "op10_exact_dedup": op10_exact_dedup,
