@@ -3,6 +3,27 @@
 _WS = "[\\x20\\x09-\\x0D]"
 
 ORACLE = {
+    "op8_line_dedup": f"""
+        WITH lines AS (
+          SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i,
+                 unnest(string_split(text, chr(10))) AS line
+          FROM documents),
+        words AS (
+          SELECT doc_id, i, trim(regexp_replace(line, '{_WS}+', ' ', 'g')) AS t FROM lines
+          WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+        windows AS (
+          SELECT doc_id, i AS first, lead(i, 2) OVER w AS last,
+                 t || chr(10) || lead(t, 1) OVER w || chr(10) || lead(t, 2) OVER w AS passage
+          FROM words WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY passage ORDER BY doc_id, first) AS n
+          FROM windows WHERE last IS NOT NULL),
+        gone AS (
+          SELECT DISTINCT doc_id, unnest(generate_series(first, last)) AS i FROM placed WHERE n > 1)
+        SELECT l.doc_id, CAST(count(g.i) AS INTEGER) AS n_removed,
+               coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') AS text
+        FROM lines l LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i GROUP BY l.doc_id
+    """,
     "op10_exact_dedup": f"""
         WITH d AS (
           SELECT doc_id, length(coalesce(text, '')) AS n,

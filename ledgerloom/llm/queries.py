@@ -9,7 +9,9 @@ from ledgerloom.llm.common import fold, table
 from ledgerloom.llm.exact_dedup import exact_dedup
 from ledgerloom.llm.host_rules import host_rules
 from ledgerloom.llm.lattice_lm import lattice_scores
+from ledgerloom.llm.line_dedup import line_dedup
 from ledgerloom.llm.packing import pack
+from ledgerloom.llm.pii import KINDS, personal_data, written
 from ledgerloom.llm.toxicity import fit, toxicity
 
 
@@ -27,6 +29,21 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of all documents: base finds counted and digested, all spans written out."""
+    found = personal_data(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
+        F.sha2(written(F.col("base")), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a model of those whose id's hash is not 2 modulo 4."""
     docs, fold_of = table(spark, sf_dir, "documents"), fold(F.col("doc_id")) % 4
@@ -50,6 +67,12 @@ def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the later occurrences of repeated three-line windows."""
+    gone = F.aggregate("removed_lines", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    return line_dedup(table(spark, sf_dir, "documents")).select("doc_id", gone.alias("n_removed"), "text")
+
+
 def op9_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a model of those whose id's hash is not 2 modulo 7."""
     docs = table(spark, sf_dir, "documents")
@@ -70,8 +93,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
     "op7_host_rules": op7_host_rules,
+    "op8_line_dedup": op8_line_dedup,
     "op9_lattice_lm": op9_lattice_lm,
     "op10_exact_dedup": op10_exact_dedup,
 }
