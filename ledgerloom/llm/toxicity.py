@@ -26,8 +26,10 @@ from ledgerloom.llm.common import whole
 
 SAMPLE_ROWS = 3000  # labelled rows taken of each class, at most
 SAMPLE_BYTES = 20_000  # longer texts are not learned from
-ORDINARY_BYTES = 512 << 10  # size of the dictionary of ordinary text
-TOXIC_BYTES = 64 << 10  # size of the dictionary of toxic text
+PART_BYTES = 64 << 10  # a dictionary trained at once; larger ones stop early
+ORDINARY_BYTES = 192 << 10  # size of the dictionary of ordinary text
+TOXIC_BYTES = 32 << 10  # size of the dictionary of toxic text
+TEXT_PER_BYTE = 20  # text for each byte of a dictionary; from less text a smaller one is trained
 LEAD_BYTES = 60
 LEVEL = 19
 SHARED = 5  # a window with no run of so many bytes from the toxic dictionary alone has distance none
@@ -54,9 +56,9 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -60, 60)))
 
 
-def windows(text: bytes) -> list[bytes]:
-    """The words of a text, A to Z in lower case, each with a blank on either side."""
-    return [b" " + w + b" " for w in text.lower().split()]
+def words(text: bytes) -> list[bytes]:
+    """The words of a text, A to Z in lower case. A window is one of them, a blank on either side."""
+    return text.lower().split()
 
 
 class Distances:
@@ -88,24 +90,25 @@ class Distances:
         if len(self.known) > CACHED_WINDOWS:
             self.known.clear()
         known, own, hard = self.known, self.own, []
-        for w in found.difference(known):
+        for word in found.difference(known):
+            w = b" " + word + b" "
             for i in range(len(w) - SHARED + 1):
                 if w[i : i + SHARED] in own:
-                    hard.append(w)
+                    hard.append(word)
                     break
             else:
-                known[w] = NONE
+                known[word] = NONE
         if hard:
-            texts = [self.lead + w for w in hard]
+            texts = [b"%b %b " % (self.lead, word) for word in hard]
             a, b = (c.multi_compress_to_buffer(texts, threads=0) for c in self.pair)
             known.update((w, len(a[i]) - len(b[i])) for i, w in enumerate(hard))
 
     def of(self, texts: list[bytes]) -> list[np.ndarray]:
         """Distances of the windows of each text."""
-        found = [windows(t) for t in texts]
+        found = [words(t) for t in texts]
         self.learn(set().union(*found))
         known = self.known
-        return [np.fromiter([known[w] for w in x], np.int64, len(x)) for x in found]
+        return [np.array([known[w] for w in x], np.int64) for x in found]
 
 
 def features(distances: np.ndarray, usual: float) -> list[float]:
@@ -119,11 +122,18 @@ def features(distances: np.ndarray, usual: float) -> list[float]:
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
-    """A trained dictionary; of too little text to train on, the text itself."""
+    """A trained dictionary; a large one is a trained one followed by others trained on other texts.
+
+    Too little text to train on is a dictionary itself.
+    """
     import zstandard
 
+    size = max(512, min(size, sum(map(len, texts)) // TEXT_PER_BYTE))
+    parts = max(1, size // PART_BYTES)
     try:
-        return zstandard.train_dictionary(size, texts, k=32, d=6).as_bytes()
+        return b"".join(
+            zstandard.train_dictionary(size // parts, texts[k::parts], k=32, d=6).as_bytes() for k in range(parts)
+        )
     except zstandard.ZstdError:
         return b" ".join(texts)[-size:] or b" "
 
