@@ -2,7 +2,100 @@
 
 _WS = "[\\x20\\x09-\\x0D]"
 
+
+def _divided(level: str, children: str) -> str:
+    """Shares of the rows (name, parent, capacity, weight, budget) of ``children``."""
+    return f"""
+        {level}_levels AS (
+          SELECT *, (budget - coalesce(sum(capacity) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                    / sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+          FROM {children} WINDOW w AS (PARTITION BY parent ORDER BY capacity / weight, name)),
+        {level} AS (
+          SELECT name, least(capacity, max(level) OVER (PARTITION BY parent) * weight) AS share
+          FROM {level}_levels)"""
+
+
+_DOMAIN = "CASE regexp_extract(source, '([0-9]{1,9})$', 1) WHEN '' THEN 0 ELSE CAST(regexp_extract(source, '([0-9]{1,9})$', 1) AS INT) % 3 END"
+_AGAIN = "(page_id * 10 + 1 + page_id * 7919 % 1000)"
+
 ORACLE = {
+    "op5_revisit": f"""
+        WITH pages_ AS (
+          SELECT *, md5(coalesce(html, '')) AS tag, regexp_replace(trim(url), '#.*$', '') AS bare FROM pages),
+        parts AS (
+          SELECT *, regexp_replace(bare, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages_),
+        keys AS (
+          SELECT *, regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^([^/?]*)', 1)),
+                      '^[^@]*@', ''), ':(80|443)?$', ''), '^www[0-9]*[.]', '')
+                 || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '') AS place,
+                 list_sort(list_filter(string_split(regexp_extract(rest, '[?](.*)$', 1), '&'), lambda p:
+                   p <> '' AND NOT regexp_matches(p, '^(utm_[^=]*|ref|fbclid|gclid|sessionid)(=|$)'))) AS kept
+          FROM parts),
+        named AS (
+          SELECT *, place || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS key FROM keys),
+        prior AS (
+          SELECT v.page_id, arg_max(r.page_id, r.page_id) AS refers_to
+          FROM named v LEFT JOIN named r
+            ON r.key = v.key AND r.page_id * 10 < v.page_id * 10 + 1 + v.page_id * 7919 % 1000
+          GROUP BY v.page_id),
+        joined AS (
+          SELECT p.page_id, p.refers_to, r.tag AS rtag, length(coalesce(r.html, '')) AS size,
+                 CASE WHEN p.page_id % 5 = 0 THEN 'changed' WHEN p.page_id % 7 = 0 OR p.page_id % 11 = 0 THEN NULL
+                      ELSE v.tag END AS vtag
+          FROM prior p JOIN named v ON v.page_id = p.page_id LEFT JOIN named r ON r.page_id = p.refers_to),
+        judged AS (
+          SELECT *, CASE
+            WHEN refers_to IS NULL THEN 'no_prior'
+            WHEN vtag IS NOT NULL THEN CASE WHEN vtag = rtag THEN 'resolved' ELSE 'validator_mismatch' END
+            WHEN page_id % 7 = 0 THEN CASE WHEN page_id = refers_to THEN 'resolved' ELSE 'validator_mismatch' END
+            ELSE 'no_validator' END AS status
+          FROM joined)
+        SELECT page_id, refers_to, status, CASE WHEN status = 'resolved' THEN
+          'cache-control: max-age=60' || chr(10) || 'content-length: ' || size || chr(10)
+          || 'content-type: text/html' || chr(10) || 'date: minute ' || {_AGAIN} || chr(10)
+          || 'etag: ' || CASE WHEN vtag IS NULL THEN '"' ELSE 'W/"' END || rtag || '"' || chr(10)
+          || 'expires: minute ' || ({_AGAIN} + 60) || chr(10)
+          || 'last-modified: minute ' || CASE WHEN page_id % 7 = 0 AND page_id % 5 <> 0 THEN page_id ELSE refers_to END
+          END AS headers
+        FROM judged
+    """,
+    "op6_mixing": f"""
+        WITH d AS (
+          SELECT doc_id, lang, source, CAST({_DOMAIN} AS VARCHAR) AS domain,
+                 len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS tokens
+          FROM documents),
+        leaves AS (
+          SELECT domain, lang, source, sum(tokens) AS tokens FROM d GROUP BY ALL),
+        n1 AS (
+          SELECT domain AS name, '' AS parent, sum(tokens) * 2.0::DOUBLE AS capacity,
+                 CASE domain WHEN '0' THEN 0.6::DOUBLE WHEN '1' THEN 0.3::DOUBLE ELSE 0.1::DOUBLE END AS weight,
+                 (SELECT sum(tokens) FROM d) * 0.6::DOUBLE AS budget
+          FROM leaves GROUP BY domain),
+        {_divided("s1", "n1")},
+        n2 AS (
+          SELECT domain || '/' || lang AS name, domain AS parent, sum(tokens) * 2.0::DOUBLE AS capacity,
+                 CASE lang WHEN 'en' THEN 0.55::DOUBLE ELSE 0.15::DOUBLE END AS weight, any_value(s1.share) AS budget
+          FROM leaves JOIN s1 ON s1.name = domain GROUP BY domain, lang),
+        {_divided("s2", "n2")},
+        n3 AS (
+          SELECT domain || '/' || lang || '/' || source AS name, domain || '/' || lang AS parent,
+                 tokens * 2.0::DOUBLE AS capacity, 1.0::DOUBLE AS weight, s2.share AS budget
+          FROM leaves JOIN s2 ON s2.name = domain || '/' || lang),
+        {_divided("s3", "n3")},
+        plan AS (
+          SELECT domain, lang, source, tokens AS all_tokens, floor(s3.share + 1e-6)::BIGINT AS target
+          FROM leaves JOIN s3 ON s3.name = domain || '/' || lang || '/' || source),
+        tries AS (
+          SELECT d.*, unnest([0, 1, 2]) AS epoch, all_tokens, target FROM d JOIN plan USING (domain, lang, source)),
+        drawn AS (
+          SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source, epoch
+                      ORDER BY md5('17:' || epoch || ':' || doc_id)
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
+          FROM tries)
+        SELECT doc_id, lang, source, epoch FROM drawn
+        WHERE epoch < target // all_tokens
+           OR epoch = target // all_tokens AND so_far < target - epoch * all_tokens
+    """,
     "op8_line_dedup": f"""
         WITH lines AS (
           SELECT doc_id, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i,

@@ -10,10 +10,29 @@ from ledgerloom.llm.exact_dedup import exact_dedup
 from ledgerloom.llm.host_rules import host_rules
 from ledgerloom.llm.lattice_lm import lattice_scores
 from ledgerloom.llm.line_dedup import line_dedup
+from ledgerloom.llm.mixing import mix, word_count
+from ledgerloom.llm.ngram_join import ngram_groups
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.pii import KINDS, personal_data, written
+from ledgerloom.llm.revisit import captures, resolve
 from ledgerloom.llm.toxicity import fit, toxicity
 
+# Target weights of the mixture: among domains, and among the languages of each domain. Sources of
+# one language weigh the same.
+DOMAINS = {0: 0.6, 1: 0.3, 2: 0.1}
+LANGUAGES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
+WEIGHTS = {(d,): w for d, w in DOMAINS.items()} | {(d, k): w for d in DOMAINS for k, w in LANGUAGES.items()}
+
+
+def tree() -> dict:
+    """The levels of the mixture: the domain is the number in the source's name, modulo 3."""
+    number = F.regexp_extract("source", "([0-9]{1,9})$", 1)
+    return {
+        "domain": F.when(number != "", number.cast("int") % 3).otherwise(0),
+        "lang": F.col("lang"),
+        "source": F.col("source"),
+    }
+
 
 def vocabulary(name: str) -> str:
     """Where a public vocabulary lies; operators take the path as a parameter."""
@@ -22,6 +41,14 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the components of links at 90 percent of three-word shingles."""
+    groups = ngram_groups(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return groups.select(
+        F.col("id").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id")
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json")).select(
@@ -53,6 +80,25 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every not-modified visit to a page, with the response it stands for and its headers now."""
+    resolved = resolve(captures(table(spark, sf_dir, "pages")))
+    text = F.array_join(F.transform("headers", lambda h: F.concat(h["name"], F.lit(": "), h["value"])), "\n")
+    return resolved.select(
+        F.floor((F.col("record_id") - 1) / 2).alias("page_id"),
+        F.floor(F.col("refers_to") / 2).alias("refers_to"),
+        "status",
+        text.alias("headers"),
+    )
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents for a budget of 0.6 of all words, small sources in up to two epochs."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix(docs, tree(), WEIGHTS, word_count(F.col("text")), budget_share=0.6, max_epochs=2, seed=17)
+    return mixed.select("doc_id", "lang", "source", "epoch")
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents judged by rules and by the record of their source."""
     return host_rules(table(spark, sf_dir, "documents")).select(
@@ -92,9 +138,12 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
+    "op5_revisit": op5_revisit,
+    "op6_mixing": op6_mixing,
     "op7_host_rules": op7_host_rules,
     "op8_line_dedup": op8_line_dedup,
     "op9_lattice_lm": op9_lattice_lm,
