@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,6 @@ _V2_TAIL = r"(?is)^(.*/v2/)([^/]+)\z"
 
 # scheme, authority with its slashes, path, query, fragment
 _URL = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(//[^/?#]*)?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
-MAX_SECRETS = 10_000
 
 
 def redact_text(text: Column) -> Column:
@@ -83,7 +84,11 @@ def redact_url(url: Column) -> Column:
 
 
 def known_secrets(urls: DataFrame, url: str = "url") -> list[tuple[str, str]]:
-    """(find, replace) pairs of a small table of configured URLs, in order of application."""
+    """(find, replace) pairs of a table of configured URLs, in order of application.
+
+    Longer texts go first, so that a secret inside another one leaves no rest of it. The URLs are
+    configuration: their secrets come to the driver and travel with the plan.
+    """
     col = F.col(url)
     values = F.transform(
         F.filter(_query_items(col), lambda i: _is_secret(i) & (i["value"] != "")),
@@ -94,23 +99,19 @@ def known_secrets(urls: DataFrame, url: str = "url") -> list[tuple[str, str]]:
         F.struct(tail.alias("find"), F.lit(MASK).alias("replace")),
         F.struct(col.alias("find"), redact_url(col).alias("replace")),
     )
-    rows = (
-        urls.filter(col != "")
-        .select(F.inline(F.concat(values, others)))
-        .filter("find <> ''")
-        .limit(MAX_SECRETS + 1)
-        .collect()
-    )
-    if len(rows) > MAX_SECRETS:
-        raise ValueError(f"more than {MAX_SECRETS} known secrets")
-    return [(r["find"], r["replace"]) for r in rows]
+    pairs = urls.filter(col != "").select(F.inline(F.concat(values, others)))
+    found = pairs.filter("find <> ''").distinct().collect()
+    ordered = sorted(found, key=lambda r: (-len(r["find"]), r["find"], r["replace"]))
+    return [(r["find"], r["replace"]) for r in ordered]
 
 
 def remove_known_secrets(text: Column, secrets: list[tuple[str, str]]) -> Column:
     """Replace each known secret wherever it occurs."""
-    for find, replacement in secrets:
-        text = F.replace(text, F.lit(find), F.lit(replacement))
-    return text
+    pairs = F.from_json(
+        F.lit(json.dumps([{"f": find, "r": mask} for find, mask in secrets])),
+        "array<struct<f: string, r: string>>",
+    )
+    return F.aggregate(pairs, text, lambda out, p: F.replace(out, p["f"], p["r"]))
 
 
 def redact_value(value: Column, kind: T.DataType) -> Column:

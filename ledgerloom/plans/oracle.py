@@ -186,12 +186,14 @@ SELECT protocol, event_type, target, count(*) AS n FROM kinds, done GROUP BY ALL
 ORACLE["normalize_quarantine"] = """
 SELECT sha256('s' || event_id || '|CurveProgram1111|0|program-data') AS event_id,
   's' || event_id AS signature, CAST(floor(epoch_us(ts) / 60000000.0) AS BIGINT) AS slot,
-  CASE WHEN event_id % 3 = 0 THEN 'normalize-error: missing side'
-    ELSE 'normalize-error: missing base_amount_raw' END AS reason,
-  CASE WHEN event_id % 3 = 0 THEN 12
+  CASE event_id % 3 WHEN 0 THEN 'normalize-error: missing side'
+    WHEN 1 THEN 'normalize-error: missing base_amount_raw'
+    ELSE 'normalize-error: missing mint' END AS reason,
+  CASE event_id % 3 WHEN 0 THEN 12
+    WHEN 2 THEN length('{"user":"u","is_buy":false,"timestamp":1,"token_amount":5}')
     ELSE CAST(strlen('{"mint":"m","user":"u","is_buy":true,"timestamp":1,"token_amount":'
       || event_id || '99999999999999999999}') AS INT) END AS payload_size
-FROM events WHERE event_id % 3 < 2"""
+FROM events WHERE event_id % 3 < 2 OR event_id % 7 = 0"""
 
 ORACLE["rebuild_datasets"] = f"""
 WITH {LEDGER}, {LIFE}
@@ -731,8 +733,10 @@ SELECT count(*) FILTER (event_id % 100 = 7 OR event_id % 50 = 3) AS only_live,
 
 ORACLE["stream_dedupe_signatures"] = f"WITH {OBS} SELECT DISTINCT signature FROM obs"
 ORACLE["stream_program_checkpoints"] = f"""
-WITH {OBS}
-SELECT source_program AS program_id, signature AS last_signature, slot AS last_slot FROM obs
+WITH {OBS}, first_seen AS (
+  SELECT * FROM obs
+  QUALIFY row_number() OVER (PARTITION BY signature, source_program ORDER BY event_id) = 1)
+SELECT source_program AS program_id, signature AS last_signature, slot AS last_slot FROM first_seen
 QUALIFY row_number() OVER (PARTITION BY source_program ORDER BY slot DESC, event_id DESC) = 1"""
 ORACLE["stream_arrivals"] = ORACLE["arrival_counters"]
 ORACLE["stream_backlog"] = f"""

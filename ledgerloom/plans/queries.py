@@ -23,9 +23,9 @@ from ledgerloom.sources import raw as raws
 from ledgerloom.streaming.collect import Collector
 from ledgerloom.streaming.sources import stream_captures, stream_table
 from ledgerloom.streaming.stateful import (
+    CheckpointState,
     arrival_windows,
     backlog_windows,
-    stream_checkpoints,
     stream_dedupe,
 )
 
@@ -149,6 +149,8 @@ def normalize_quarantine(spark, sf_dir):
             F.lit('{"mint":"m","user":"u","is_buy":true,"timestamp":1,"token_amount":'),
             F.col("event_id").cast("string"), F.lit('99999999999999999999}'),
         ),
+    ).when(
+        F.col("event_id") % 7 == 0, '{"user":"u","is_buy":false,"timestamp":1,"token_amount":5}'
     ).otherwise('{"mint":"m","user":"u","is_buy":false,"timestamp":1,"token_amount":5}')
     events = views.obs(spark, sf_dir).select(
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("event_id"),
@@ -1055,10 +1057,17 @@ def stream_dedupe_signatures(spark, sf_dir):
 
 @query
 def stream_program_checkpoints(spark, sf_dir):
-    best = stream_checkpoints(
-        _event_stream(spark, sf_dir), "source_program", "signature", "slot", "event_id"
+    """Checkpoints over first observations, one file of events per micro-batch."""
+    state = CheckpointState(scratch_path(spark, "stream-checkpoints"))
+    rows = _event_stream(spark, sf_dir).withColumn("replay_order", F.col("event_id"))
+    running = (
+        rows.writeStream.option("checkpointLocation", scratch_path(spark, "checkpoint-offsets"))
+        .foreachBatch(state.process)
+        .trigger(availableNow=True)
+        .start()
     )
-    return _stream_to_table(spark, best, "stream-checkpoints", "complete")
+    running.awaitTermination()
+    return state.latest(spark).select("program_id", "last_signature", "last_slot")
 
 
 @query
@@ -1071,7 +1080,7 @@ def stream_arrivals(spark, sf_dir):
     )
     classified = frames.classify_frames(framed.withColumnRenamed("frame", "value"))
     windows = _stream_to_table(
-        spark, arrival_windows(classified, "1 hour"), "stream-arrivals", "complete"
+        spark, arrival_windows(classified, "1 hour", "10 minutes"), "stream-arrivals", "complete"
     )
     return windows.select(
         F.floor(F.unix_seconds("window.start") / 3600).alias("hour"),
@@ -1086,7 +1095,7 @@ def stream_backlog(spark, sf_dir):
         "change", F.when(F.col("event_type").isin("click", "view", "signup"), 1).otherwise(-1)
     )
     windows = _stream_to_table(
-        spark, backlog_windows(changes, "1 hour"), "stream-backlog", "complete"
+        spark, backlog_windows(changes, "1 hour", "10 minutes"), "stream-backlog", "complete"
     )
     return windows.select(F.floor(F.unix_seconds("window.start") / 3600).alias("hour"), "net")
 

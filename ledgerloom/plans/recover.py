@@ -24,13 +24,21 @@ def recover(
     """(recovered envelopes, new checkpoints). Both guards run before anything is returned, so a
     failed recovery leaves the stored checkpoints as they are.
 
-    ``fetched`` has (signature, received_at, result). Replay order is oldest first.
+    ``fetched`` has (signature, received_at, result); of several results the earliest counts, and
+    null ones do not. Replay order is oldest first.
     """
     missing = materialize(
         missing_signatures(listing, checkpoints, observed, cap), "missing-signatures"
     )
     check_available(missing, fetched)
-    results = missing.select("signature", "program_id", "replay_rank").join(fetched, "signature")
+    answer = F.min_by(F.struct("received_at", "result"), F.struct("received_at", "result"))
+    answers = (
+        fetched.filter("result IS NOT NULL")
+        .groupBy("signature")
+        .agg(answer.alias("a"))
+        .select("signature", "a.*")
+    )
+    results = missing.select("signature", "program_id", "replay_rank").join(answers, "signature")
     raw = transactions_of_results(results, provider)
     ranks = missing.select("signature", F.col("program_id").alias("source_program"), "replay_rank")
     ordered = as_envelopes(raw).drop("replay_order").join(ranks, ["signature", "source_program"])

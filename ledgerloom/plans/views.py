@@ -162,9 +162,9 @@ payload: CASE
   ELSE '{"event":"' || event_type || '","Mint":"m' || CAST(user_id AS STRING) || '"'
     || CASE WHEN event_id % 2 = 0 THEN ',"creator":null' ELSE '' END
     || CASE WHEN event_id % 3 = 0 THEN ',"a/b":' || CAST(event_id AS STRING) ELSE ',"a/b":1.0' END
-    || CASE WHEN event_id % 5 = 0 THEN ',"details":{"active":true,"user":"u"}'
-            WHEN event_id % 5 = 1 THEN ',"details":{"active":null}'
-            WHEN event_id % 5 = 2 THEN ',"details":[{"x":1},{"x":"1"},2]'
+    || CASE WHEN event_id % 5 = 0 THEN ',"extra":{"open":true,"user":"u"}'
+            WHEN event_id % 5 = 1 THEN ',"extra":{"open":null}'
+            WHEN event_id % 5 = 2 THEN ',"extra":[{"x":1},{"x":"1"},2]'
             ELSE '' END
     || ',"props":' || props || '}' END
 """

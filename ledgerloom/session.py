@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ BROADCAST_ROWS = 100_000
 SESSION = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A frame that repeats a key is still a frame: the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -46,14 +49,22 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="ledgerloom-")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder named by ``spark.checkpoint.dir``; a private one only in local mode."""
+    """Shared folder named by ``spark.checkpoint.dir``.
+
+    Only where that is unset and driver and executors are one process, a private folder serves.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = tempfile.mkdtemp(prefix="ledgerloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _own_folder()
     return root
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.schemas import EVENT_CATALOG, FIELD_CATALOG, PROTOCOLS
-from ledgerloom.session import BROADCAST_ROWS
 
 _DOCUMENT = (
     "address string, "
@@ -125,18 +124,34 @@ class Catalog:
     layouts: dict[str, dict]
 
 
-def build_catalog(events: DataFrame, fields: DataFrame) -> Catalog:
-    """Collect the (size-checked) catalog tables once; they are configuration, not data."""
+def build_catalog(
+    events: DataFrame, fields: DataFrame, programs: DataFrame | None = None
+) -> Catalog:
+    """Collect the catalog tables once; they are configuration, not data.
+
+    ``programs`` (protocol, program_id) names programs that may have no events.
+    """
+    named = events if programs is None else programs
     return catalog_of(
         events.sparkSession,
-        _bounded(events.select(*EVENT_CATALOG.fieldNames())),
-        _bounded(fields.select(*FIELD_CATALOG.fieldNames())),
+        events.select(*EVENT_CATALOG.fieldNames()).collect(),
+        fields.select(*FIELD_CATALOG.fieldNames()).collect(),
+        named.select("protocol", "program_id").distinct().collect(),
     )
 
 
-def catalog_of(spark: SparkSession, events: list, fields: list) -> Catalog:
-    """Catalog from rows of the two tables, in the column order of their schemas."""
-    layouts: dict[str, dict] = {program: {} for _, program, _, _ in events}
+def catalog_of(
+    spark: SparkSession, events: list, fields: list, programs: list | None = None
+) -> Catalog:
+    """Catalog from rows of the two tables, in the column order of their schemas.
+
+    Of several events of one program with the same discriminator, the last by name counts.
+    """
+    named = {(program, protocol) for protocol, program, _, _ in events}
+    named |= {(program, protocol) for protocol, program in programs or []}
+    ordered_events = sorted(map(tuple, events), key=lambda e: (e[1], e[2]))
+    events = list({(e[1], bytes(e[3])): e for e in ordered_events}.values())
+    layouts: dict[str, dict] = {program: {} for program, _ in named}
     ordered = sorted(fields, key=lambda row: (row[0], row[1], row[3] or 0))
     for program, type_name, type_kind, position, field_name, field_type in ordered:
         kind, members = layouts.setdefault(program, {}).setdefault(type_name, (type_kind, []))
@@ -146,10 +161,9 @@ def catalog_of(spark: SparkSession, events: list, fields: list) -> Catalog:
         if kind == "enum":
             spec = [_member(m) for m in spec or []]
         members.append((field_name, spec))
-    programs = sorted({(program, protocol) for protocol, program, _, _ in events})
     return Catalog(
         events=spark.createDataFrame([tuple(e) for e in events], EVENT_CATALOG),
-        programs=spark.createDataFrame(programs, "program_id string, protocol string"),
+        programs=spark.createDataFrame(sorted(named), "program_id string, protocol string"),
         layouts=layouts,
     )
 
@@ -157,7 +171,8 @@ def catalog_of(spark: SparkSession, events: list, fields: list) -> Catalog:
 def load_catalog(spark: SparkSession, paths: dict[str, str]) -> Catalog:
     """Catalog from schema documents, one per protocol."""
     documents = read_catalog_documents(spark, paths)
-    return build_catalog(event_rows(documents), field_rows(documents))
+    programs = documents.select("protocol", F.col("doc.address").alias("program_id"))
+    return build_catalog(event_rows(documents), field_rows(documents), programs)
 
 
 def select_protocols(names: str, known: tuple[str, ...] = PROTOCOLS) -> tuple[str, ...]:
@@ -187,13 +202,6 @@ def diff_catalogs(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def _bounded(df: DataFrame) -> list:
-    rows = df.limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) > BROADCAST_ROWS:
-        raise ValueError(f"schema catalog has more than {BROADCAST_ROWS} rows")
-    return rows
-
-
 def _member(spec) -> tuple:
     """Enum member: named when it is an object with a name, positional otherwise."""
     if isinstance(spec, dict) and "name" in spec:

@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.dedupe import (
+    checkpoints,
+    merge_checkpoints,
+    new_observations,
+    observations,
+)
 from ledgerloom.operators.metrics import arrival_counters
+from ledgerloom.schemas import CHECKPOINTS, OBSERVATIONS
+from ledgerloom.sources.derived import batch_numbers
 
 
 def stream_dedupe(
@@ -21,30 +31,58 @@ def stream_dedupe(
     return stream.withWatermark(event_time, horizon).dropDuplicatesWithinWatermark([key])
 
 
-def stream_checkpoints(
-    stream: DataFrame, program: str, signature: str, slot: str, arrival: str
-) -> DataFrame:
-    """Running checkpoint per program: highest slot, later arrival on ties. Update mode."""
-    best = F.max_by(F.struct(signature, slot), F.struct(slot, arrival))
-    return (
-        stream.groupBy(F.col(program).alias("program_id"))
-        .agg(best.alias("c"))
-        .select(
-            "program_id",
-            F.col(f"c.{signature}").alias("last_signature"),
-            F.col(f"c.{slot}").alias("last_slot"),
+@dataclass(frozen=True)
+class CheckpointState:
+    """Checkpoints per program over first observations, kept in two tables under ``root``.
+
+    ``process`` is a ``foreachBatch`` function over envelopes. A repeated observation of a
+    signature through the same program moves nothing, whichever batch it comes in. Each batch adds
+    its first observations and a new snapshot of the checkpoints, which has one row per program; a
+    batch that is retried overwrites its own.
+    """
+
+    root: str
+
+    def _before(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
+        schema = {"observations": OBSERVATIONS, "checkpoints": CHECKPOINTS}[name]
+        folder = f"{self.root}/{name}"
+        done = [b for b in batch_numbers(spark, folder) if b < batch_id]
+        if name == "checkpoints":
+            done = [max(done)] if done else []
+        if not done:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*[f"{folder}/batch={b}" for b in done])
+
+    def process(self, envelopes: DataFrame, batch_id: int) -> None:
+        spark = envelopes.sparkSession
+        seen = self._before(spark, "observations", batch_id)
+        fresh = new_observations(observations(envelopes), seen)
+        path = f"{self.root}/{{}}/batch={batch_id}"
+        fresh.write.mode("overwrite").parquet(path.format("observations"))
+        written = spark.read.schema(fresh.schema).parquet(path.format("observations"))
+        moved = merge_checkpoints(
+            self._before(spark, "checkpoints", batch_id), checkpoints(written)
         )
-    )
+        moved.write.mode("overwrite").parquet(path.format("checkpoints"))
+
+    def latest(self, spark: SparkSession) -> DataFrame:
+        return self._before(spark, "checkpoints", 1 << 62)
+
 
+def arrival_windows(classified: DataFrame, width: str, late: str):
+    """Arrival counters per tumbling window of the arrival time.
 
-def arrival_windows(classified: DataFrame, width: str = "1 minute", late: str = "10 minutes"):
-    """Arrival counters per tumbling window of the arrival time."""
+    Update and append mode leave out frames that come more than ``late`` after the newest one.
+    """
     marked = classified.withWatermark("received_at", late)
     return arrival_counters(marked, F.window("received_at", width).alias("window"))
 
 
-def backlog_windows(changes: DataFrame, width: str = "1 minute", late: str = "10 minutes"):
-    """Net queue change per tumbling window; a running sum of it is the backlog."""
+def backlog_windows(changes: DataFrame, width: str, late: str):
+    """Net queue change per tumbling window; a running sum of it is the backlog.
+
+    Update and append mode leave out changes that come more than ``late`` after the newest one.
+    """
     marked = changes.withWatermark("received_at", late)
     return marked.groupBy(F.window("received_at", width).alias("window")).agg(
         F.sum("change").alias("net")

@@ -8,7 +8,7 @@ from ledgerloom.plans.rebuild import rebuild
 from ledgerloom.sources.derived import current_version, read_dataset
 from ledgerloom.streaming.collect import Collector
 from ledgerloom.streaming.sources import stream_captures
-from ledgerloom.streaming.stateful import arrival_windows, stream_checkpoints, stream_dedupe
+from ledgerloom.streaming.stateful import CheckpointState, arrival_windows, stream_dedupe
 from tests.helpers import PUMP, SWAP, logs_of, payload
 
 
@@ -29,7 +29,7 @@ def _frame(signature, logs, slot=5, subscription=1, err=None):
 def _capture(folder, name, frames, minute):
     folder.mkdir(exist_ok=True)
     lines = [
-        f'{{"received_at":"2026-09-10T16:{minute:02d}:{i:02d}Z","payload":{json.dumps(f)}}}'
+        f'{{"received_at":"2025-03-04T08:{minute:02d}:{i:02d}Z","payload":{json.dumps(f)}}}'
         for i, f in enumerate(frames)
     ]
     (folder / name).write_text("\n".join(lines) + "\n")
@@ -106,14 +106,14 @@ def test_blocks_are_archived_once(spark, tmp_path, catalog):
              "version": "legacy"}
     block = {"method": "blockNotification", "params": {"subscription": 1, "result": {
         "context": {"slot": 7}, "value": {"slot": 7, "err": None, "block": {
-            "blockTime": 1700000000, "transactions": [entry, entry]}}}}}
+            "blockTime": 1740900000, "transactions": [entry, entry]}}}}}
     frames = tmp_path / "frames"
     _capture(frames, "a.txt", [block], 1)
     _capture(frames, "b.txt", [block], 2)
     collector = _collector(spark, tmp_path, catalog, "block")
     collector.start(stream_captures(spark, str(frames), 1)).awaitTermination()
     assert spark.read.text(collector.path("raw", "transactions")).count() == 1
-    assert collector.dataset(spark, "trades").first().block_time == 1700000000
+    assert collector.dataset(spark, "trades").first().block_time == 1740900000
     counters = {r.key: r.value for r in collector.latest(spark, "counters").collect()}
     assert counters["duplicate_transactions"] == 3
 
@@ -141,13 +141,49 @@ def test_stateful_operators_match_batch(spark, tmp_path):
     bounded = _run(
         stream_dedupe(value, "signature", "received_at", "1 hour"), spark, "bounded", "append")
     assert bounded.count() == 3
-    best = _run(stream_checkpoints(value, "program", "signature", "slot", "received_at"),
-                spark, "best", "complete").first()
-    assert (best.last_signature, best.last_slot) == ("s2", 20)
-    windows = _run(arrival_windows(stream), spark, "windows", "complete")
+    windows = _run(arrival_windows(stream, "1 minute", "10 minutes"), spark, "windows", "complete")
     batch = classify_frames(
         spark.read.text(str(frames)).select(F.get_json_object("value", "$.payload").alias("value"))
     )
     whole = arrival_counters(batch).first()
     assert windows.agg(F.sum("ws_messages_received")).first()[0] == whole.ws_messages_received == 5
     assert windows.agg(F.sum("failed_log_notifications")).first()[0] == 1
+
+
+def test_repeated_observations_move_no_checkpoint(spark, tmp_path):
+    def rows(*values):
+        return spark.createDataFrame(
+            [(s, "p", slot, n) for s, slot, n in values],
+            "signature string, source_program string, slot bigint, n int",
+        ).select("*", F.timestamp_seconds("n").alias("received_at"), F.col("n").alias("replay_order"))
+
+    state = CheckpointState(str(tmp_path / "marks"))
+    first, second = rows(("a", 5, 1), ("b", 7, 2), ("a", 90, 3)), rows(("b", 99, 4), ("c", 6, 5))
+    for batch_id, batch in ((0, first), (1, second), (1, second)):
+        state.process(batch, batch_id)
+    assert [(r.last_signature, r.last_slot) for r in state.latest(spark).collect()] == [("b", 7)]
+    state.process(rows(("c", 100, 6), ("d", 7, 7)), 2)
+    assert [(r.last_signature, r.last_slot) for r in state.latest(spark).collect()] == [("d", 7)]
+
+
+def test_a_retried_batch_leaves_raw_as_it_was(spark, tmp_path, catalog):
+    trade = logs_of(PUMP, payload("pump", "TradeEvent"))
+    frames = tmp_path / "frames"
+    _capture(frames, "a.txt", [_frame("s1", trade), _frame("s2", trade)], 1)
+    lines = spark.read.text(str(frames)).select(
+        F.timestamp_seconds(F.lit(1)).alias("received_at"),
+        F.get_json_object("value", "$.payload").alias("value"),
+    )
+    collector = _collector(spark, tmp_path, catalog)
+    for _ in range(2):
+        collector.process(lines, 0)
+    assert spark.read.text(collector.path("raw", "logs")).count() == 2
+
+
+def test_a_frame_that_repeats_a_key_is_kept(spark):
+    text = (
+        '{"method":"logsNotification","method":"logsNotification","params":{"subscription":1,'
+        '"result":{"context":{"slot":1,"slot":2},"value":{"signature":"s","err":null,"logs":[]}}}}'
+    )
+    df = spark.createDataFrame([(text,)], "value string")
+    assert classify_frames(df).first().is_notification
