@@ -2,11 +2,12 @@
 
 Two texts link when their sets of word shingles overlap by a percentage of their union. Equal sets
 are one vertex. What follows is exact for every order of the shingles; shingles are ordered by how
-many sets hold them, as far as that is known, so that prefixes hold rare ones.
+many sets hold them, so that prefixes hold rare ones.
 
-1. A set can lack only so many shingles of a set it links with. Shingles below a fixed hash are
-   counted over all sets; a set with more shingles of its own than it may lack links with nothing.
-   Most texts end here, without a pair having been formed.
+1. A set can lack only so many shingles of a set it links with: one with more shingles that no
+   other set holds links with nothing. Shingles below a fixed hash are counted over all sets, and
+   most sets end here. Those that are left are counted again on all their shingles, among
+   themselves.
 2. Small sets enumerate their subsets of every size that a link permits. Sets with an equal subset
    link as the subset's size tells, each with the one that lacks least; no pairs are formed.
 3. Large sets, and the smaller ones they may link with, are written into inverted lists under their
@@ -32,10 +33,11 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import broadcast_within, materialize, whole
 from ledgerloom.llm.components import components
 
-COUNTED = 1.75  # share of all shingles that are counted, in shares a set may lack
-SMALL_MOST = 64  # sets up to this size keep all their shingles at hand, so that they may be small ones
+COUNTED = 1.75  # share of all shingles that are counted at first, in shares a set may lack
+SMALL_MOST = 64  # no set above this size is a small one
 
 HEADS = "id long, n int, cid long, head array<long>"
+SETS = "cid long, n int, shingles array<long>"
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -78,67 +80,81 @@ def _border(percent: int) -> int:
     return min((1 << 63) - 1, int(COUNTED * (100 - percent) / 100 * (1 << 63)))
 
 
+def _lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    values = np.concatenate(found) if found else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
 def _heads(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size, id and smallest hashes of each set: all below the border, and a prefix at least."""
+    """Size and id of each set, and its hashes below the border."""
     border = _border(percent)
     for batch in batches:
         for first in range(0, batch.num_rows, 512):
             part = batch.slice(first, 512)
-            sizes, ids, heads = [], [], []
-            for text in part.column("text").to_pylist():
-                found = shingles(text, width)
-                n = len(found)
-                sizes.append(n)
-                ids.append(set_id(found))
-                held = max(int(np.searchsorted(found, border)), lacking(n, percent) + 1)
-                heads.append(found if n <= SMALL_MOST else found[:held])
-            ends = np.cumsum([0, *map(len, heads)]).astype(np.int32)
-            values = pa.array(np.concatenate(heads) if heads else np.zeros(0, np.int64))
+            found = [shingles(t, width) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
-                    pa.array(sizes, pa.int32()),
-                    pa.array(ids, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(ends), values),
+                    pa.array([len(x) for x in found], pa.int32()),
+                    pa.array([set_id(x) for x in found], pa.int64()),
+                    _lists([x[: np.searchsorted(x, border)] for x in found]),
                 ],
                 ["id", "n", "cid", "head"],
             )
 
 
+def _whole_sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, batch.num_rows, 512):
+            found = [shingles(t, width) for t in batch.slice(first, 512).column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([set_id(x) for x in found], pa.int64()),
+                    pa.array([len(x) for x in found], pa.int32()),
+                    _lists(found),
+                ],
+                ["cid", "n", "shingles"],
+            )
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), whole(F.col(text_col)).cast("binary").alias("text"))
 
 
-def _survivors(heads: DataFrame, percent: int) -> DataFrame:
-    """One row per set that may link with another: cid, n, own (shingles that only it holds), head."""
-    counted = heads.select("cid", F.explode("head").alias("e")).where(F.col("e") < _border(percent))
-    held = counted.groupBy("e").agg(F.min("cid").alias("cid"), F.max("cid").alias("other"))
+def _survivors(texts: DataFrame, heads: DataFrame, width: int, percent: int) -> DataFrame:
+    """The whole sets (cid, n, shingles) that may link with another, as far as the heads tell.
+
+    They are read again from the text of one row each.
+    """
+    held = heads.select("cid", F.explode("head").alias("e")).groupBy("e")
+    held = held.agg(F.min("cid").alias("cid"), F.max("cid").alias("other"))
     own = held.where(F.col("cid") == F.col("other")).groupBy("cid").agg(F.count(F.lit(1)).cast("int").alias("own"))
-    sizes = heads.groupBy("cid").agg(F.max("n").alias("n"))
-    kept = sizes.join(own, "cid", "left").select("cid", "n", F.coalesce("own", F.lit(0)).alias("own"))
-    kept = materialize(kept.where(F.col("own") <= _lacking(F.col("n"), percent)), "kept")
-    rows = kept.count()
-    found = heads.select("cid", "head").join(broadcast_within(kept.select("cid", "own", "n"), rows), "cid")
-    return materialize(
-        found.groupBy("cid").agg(F.first("n").alias("n"), F.first("own").alias("own"), F.first("head").alias("head")),
-        "survivors",
-    )
+    sizes = heads.groupBy("cid").agg(F.max("n").alias("n"), F.min("id").alias("id"))
+    kept = sizes.join(own, "cid", "left").where(F.coalesce("own", F.lit(0)) <= _lacking(F.col("n"), percent))
+    kept = materialize(kept.select("cid", "id"), "kept")
+    wanted = broadcast_within(kept.select(F.col("id").alias("wanted")).distinct(), kept.count())
+    again = texts.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
+    read = again.mapInArrow(lambda it: _whole_sets(width, it), SETS)
+    # Rows of one id may have other sets too.
+    return materialize(read.join(kept.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "survivors")
 
 
 def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """cid, n, own, e, rank: each set's first shingles, as many as it may lack and one more.
+    """cid, n, own, e, rank: the first shingles of each set, as many as it may lack and one more.
 
-    Counted shingles come first, those that few of ``sets`` hold before others; then the rest by hash.
+    Those that fewer of ``sets`` hold come first, then those of smaller hash. A set's own shingles
+    take the first ranks and are not listed; sets with more of them than they may lack are left out.
     """
-    counted = F.col("e") < _border(percent)
-    postings = sets.select("cid", "n", "own", F.explode("head").alias("e"))
-    shared = postings.where(counted).groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    joined = postings.join(materialize(shared, "shared"), "e", "left")
-    order = Window.partitionBy("cid").orderBy(~counted, F.when(counted, F.coalesce("df", F.lit(1))).otherwise(0), "e")
-    ranked = joined.withColumn("rank", F.row_number().over(order) - 1)
-    return ranked.where((F.col("rank") <= _lacking(F.col("n"), percent)) & (~counted | (F.col("df") > 1))).select(
-        "cid", "n", "own", "e", "rank"
-    )
+    postings = sets.select("cid", "n", F.explode("shingles").alias("e"))
+    shared = materialize(postings.groupBy("e").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "shared")
+    joined = postings.join(shared, "e")
+    group = Window.partitionBy("cid")
+    place = F.row_number().over(group.orderBy("df", "e"))
+    own = F.col("n") - F.count(F.lit(1)).over(group)
+    ranked = joined.select("cid", "n", "e", own.cast("int").alias("own"), place.alias("place"))
+    ranked = ranked.withColumn("rank", (F.col("own") + F.col("place") - 1).cast("int"))
+    return ranked.where(F.col("rank") <= _lacking(F.col("n"), percent)).select("cid", "n", "own", "e", "rank")
 
 
 def subsets(n: int, percent: int) -> int:
@@ -161,8 +177,8 @@ def _enumerate(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
     """Hashes of the subsets of small sets, with what each lacks of its set."""
     for batch in batches:
         keys, sets, sizes, lacks = [], [], [], []
-        for cid, head in zip(batch.column("cid").to_pylist(), batch.column("head"), strict=True):
-            found = head.values.to_numpy().astype(np.uint64)
+        for cid, found in zip(batch.column("cid").to_pylist(), batch.column("shingles"), strict=True):
+            found = found.values.to_numpy().astype(np.uint64)
             mixed = (found ^ (found >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
             mixed ^= mixed >> np.uint64(32)
             total = int(mixed.sum(dtype=np.uint64))
@@ -181,7 +197,7 @@ def _enumerate(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 
 def _small_links(sets: DataFrame, small: int, percent: int) -> DataFrame:
     """Links (a, b) between sets of at most ``small`` shingles: with the set that lacks least of a subset."""
-    few = sets.where(F.col("n") <= small).select("cid", "head")
+    few = sets.where(F.col("n") <= small).select("cid", "shingles")
     rows = materialize(few.mapInArrow(lambda it: _enumerate(percent, it), "key long, size int, cid long, d int"), "subsets")
     least = rows.groupBy("key", "size").agg(
         F.min(F.struct("d", "cid")).alias("least"), F.count(F.lit(1)).alias("n")
@@ -232,22 +248,12 @@ def _cross_pairs(lists: DataFrame, done: DataFrame, labels: DataFrame, small: in
     return _pairs(joined.where(_may_link("x", "y", small, percent))).join(done, ["a", "b"], "left_anti")
 
 
-def _whole_sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for first in range(0, batch.num_rows, 512):
-            found = [shingles(t, width) for t in batch.slice(first, 512).column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([set_id(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
-                ["cid", "set"],
-            )
-
-
 def _check(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Which pairs link, by their whole sets."""
     for batch in batches:
         linked = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)
+        for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+            x, y = x.values.to_numpy(), y.values.to_numpy()
             common = len(np.intersect1d(x, y, assume_unique=True))
             linked.append(100 * common >= percent * (len(x) + len(y) - common))
         keep = pa.array(linked, pa.bool_())
@@ -257,8 +263,8 @@ def _check(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    with_x = pairs.join(sets.select(F.col("cid").alias("a"), F.col("set").alias("x")), "a")
-    with_both = with_x.join(sets.select(F.col("cid").alias("b"), F.col("set").alias("y")), "b")
+    with_x = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a")
+    with_both = with_x.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("y")), "b")
     found = with_both.select("a", "b", "x", "y").mapInArrow(lambda it: _check(percent, it), "a long, b long")
     return materialize(found, "linked")
 
@@ -277,28 +283,18 @@ def ngram_groups(
     texts = _texts(docs, id_col, text_col)
     heads = materialize(texts.mapInArrow(lambda it: _heads(width, percent, it), HEADS), "heads")
     filled = heads.where("n > 0")
-    sets = _survivors(filled, percent)
+    sets = _survivors(texts, filled, width, percent)
     lists = materialize(_prefixes(sets, percent), "lists")
     spread = lists.groupBy("e").count().agg(F.sum(F.col("count") * F.col("count")) / F.sum("count")).first()[0]
     small = boundary(spread or 0.0, percent)
     links = _small_links(sets, small, percent)
     lists = lists.where(100 * F.col("n") >= percent * (small + 1))
 
-    # Whole sets of what lists pair, read again from the texts of one row each.
-    paired = lists.groupBy("e").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    wanted = lists.join(materialize(paired, "paired"), "e", "left_semi").select("cid").distinct()
-    first = filled.join(wanted, "cid", "left_semi").groupBy("cid").agg(F.min("id").alias("id"))
-    first = materialize(first, "first")
-    ids = first.select(F.col("id").alias("want")).distinct()
-    again = texts.join(broadcast_within(ids, first.count()), F.col("id").eqNullSafe(F.col("want")), "left_semi")
-    read = again.select("text").mapInArrow(lambda it: _whole_sets(width, it), "cid long, set binary")
-    whole_sets = materialize(read.join(first.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "sets")
-
     near = materialize(_hub_pairs(lists, small, percent), "pairs")
-    links = materialize(links.union(_linked(near, whole_sets, percent)).distinct(), "links")
+    links = materialize(links.union(_linked(near, sets, percent)).distinct(), "links")
     labels = components(links)
     across = materialize(_cross_pairs(lists, near, labels, small, percent), "pairs")
-    more = _linked(across, whole_sets, percent)
+    more = _linked(across, sets, percent)
     if more.limit(1).count():
         labels = components(links.union(more))
 
