@@ -101,13 +101,14 @@ def root_types(nodes: DataFrame) -> DataFrame:
 
 
 def top_level_shapes(documents: DataFrame, text: str = "payload") -> DataFrame:
-    """Sorted key sets of object documents with their counts, most frequent first by ``rank``."""
+    """Sorted key sets of object documents with their counts: most frequent first, then by keys."""
     keys = F.array_sort(F.array_distinct(F.json_object_keys(text)))
     return (
         documents.select(keys.alias("keys"))
         .filter("keys IS NOT NULL")
         .groupBy("keys")
         .agg(F.count("*").alias("messages"))
+        .orderBy(F.desc("messages"), "keys")
     )
 
 

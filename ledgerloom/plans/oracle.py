@@ -254,7 +254,10 @@ SELECT strftime(CASE WHEN event_id % 2 = 0 THEN make_timestamp(slot * 60000000)
   CAST(sum(amount) AS BIGINT) AS amount
 FROM obs GROUP BY ALL"""
 
-ORACLE["file_statistics"] = "SELECT 'parquet' AS name, TRUE AS has_files, TRUE AS has_bytes"
+ORACLE["file_statistics"] = """
+SELECT event_type AS name, CAST(1 AS BIGINT) AS files,
+  CAST(sum(strlen(event_id || '|' || user_id || '|' || props) + 1) AS BIGINT) AS bytes
+FROM events GROUP BY event_type"""
 
 # --- frames
 
@@ -653,9 +656,14 @@ clean AS (SELECT kind, id, regexp_replace(regexp_replace(
     '\1REDACTED', 'gi'), '(/v2/)([^/?#{_BLANKS}"'']+)', '\1REDACTED', 'gi') AS text FROM docs)
 SELECT kind, id, sha256(text) AS digest, CAST(length(text) AS INT) AS size FROM clean"""
 ORACLE["known_secrets"] = """
-SELECT CASE WHEN n_nationkey IS NULL THEN 'error k' || l_suppkey || 'zz and q' || l_suppkey || 'ww'
-  ELSE 'error REDACTED and REDACTED' END AS text, count(*) AS n
-FROM lineitem LEFT JOIN nation ON l_suppkey = n_nationkey GROUP BY 1"""
+WITH words AS (SELECT unnest([
+    regexp_extract(text, '^[^A-Za-z]*([A-Za-z]+)', 1),
+    regexp_extract(text, '^[^A-Za-z]*[A-Za-z]+[^A-Za-z]*([A-Za-z]+)', 1)]) AS find FROM benchmark),
+ordered AS (SELECT list(find ORDER BY length(find) DESC, find) AS finds
+  FROM (SELECT DISTINCT find FROM words WHERE find <> ''))
+SELECT doc_id,
+  md5(list_reduce([text] || finds, lambda acc, find: replace(acc, find, 'REDACTED'))) AS clean
+FROM documents, ordered"""
 ORACLE["insecure_urls"] = f"""
 WITH {_URLS}
 SELECT page_id, CASE WHEN scheme <> 'https' THEN 'URL must use https://'

@@ -314,15 +314,16 @@ def jsonl_sink(spark, sf_dir):
 
 @query
 def file_statistics(spark, sf_dir):
-    """Files and bytes written for one dataset."""
+    """Files and bytes of uncompressed lines written for the events of each type."""
     path = scratch_path(spark, "files")
-    rows = views.obs(spark, sf_dir).select(
-        "signature", "received_at", F.col("slot").alias("block_time")
+    rows = views.table(spark, sf_dir, "events").select(
+        "event_type", F.concat_ws("|", "event_id", "user_id", "props").alias("value")
     )
-    write_dataset(rows, path, "events")
-    return metrics.file_statistics(
-        spark, {"parquet": f"{path}/*/*/*.parquet"}
-    ).select("name", (F.col("files") > 0).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+    one_file_each = rows.repartition(4, "event_type")
+    one_file_each.write.partitionBy("event_type").text(path)
+    names = [r[0] for r in rows.select("event_type").distinct().collect()]
+    patterns = {name: f"{path}/event_type={name}/*.txt" for name in names}
+    return metrics.file_statistics(spark, patterns)
 
 
 # --- frames --------------------------------------------------------------------------------------
@@ -853,20 +854,18 @@ def redact_nested(spark, sf_dir):
 
 @query
 def known_secrets(spark, sf_dir):
-    """Secrets of one configured endpoint per nation removed from text that mentions them."""
-    number = F.col("n_nationkey").cast("string")
-    endpoints = views.table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("https://rpc.example/v2/k"), number, F.lit("zz?api_key=q"), number,
-                 F.lit("ww&x=1")).alias("url")
+    """Secrets of endpoints removed from all documents; a benchmark item's first words are secrets."""
+
+    def word(n: int):
+        return F.regexp_extract("text", rf"^(?:[^A-Za-z]*[A-Za-z]+){{{n}}}[^A-Za-z]*([A-Za-z]+)", 1)
+
+    endpoints = views.table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("https://rpc.example/v2/"), word(0), F.lit("?api_key="), word(1),
+                 F.lit("&x=1")).alias("url")
     )
     secrets = scrub.known_secrets(endpoints)
-    text = F.concat(
-        F.lit("error k"), F.col("l_suppkey").cast("string"), F.lit("zz and q"),
-        F.col("l_suppkey").cast("string"), F.lit("ww"),
-    )
-    lines = views.table(spark, sf_dir, "lineitem").select("l_suppkey", text.alias("text"))
-    clean = lines.withColumn("text", scrub.remove_known_secrets(F.col("text"), secrets))
-    return clean.groupBy("text").agg(F.count("*").alias("n"))
+    clean = scrub.remove_known_secrets(F.col("text"), secrets)
+    return views.table(spark, sf_dir, "documents").select("doc_id", F.md5(clean.cast("binary")).alias("clean"))
 
 
 @query
@@ -936,18 +935,24 @@ def catalog_diff(spark, sf_dir):
 def pool_asof(spark, sf_dir):
     """Trades of a pool with the mint linked to it at that time."""
     events = views.table(spark, sf_dir, "events")
-    rows = events.select("event_id", "event_type", F.col("user_id").cast("string").alias("pool"))
+    number = F.col("event_id")
+    # Sixteen events share a slot, four a transaction: links and trades meet inside slots.
+    rows = events.select(
+        "event_id", "event_type", F.col("user_id").cast("string").alias("pool"),
+        F.floor(number / 16).alias("slot"),
+        F.floor(number % 16 / 4).cast("int").alias("transaction_index"),
+        (number % 4).cast("int").alias("log_index"),
+    )
     links = rows.filter("event_type = 'signup'").select(
-        "pool", F.col("event_id").alias("slot"),
-        F.concat(F.lit("m"), F.col("event_id").cast("string")).alias("link"),
+        "event_id", "pool", "slot", F.concat(F.lit("m"), number.cast("string")).alias("link"),
     )
-    pools = links.filter("slot % 2 = 0").withColumnRenamed("link", "base_mint")
-    migrations = links.filter("slot % 2 = 1").withColumnRenamed("link", "mint")
+    pools = links.filter("event_id % 2 = 0").withColumnRenamed("link", "base_mint")
+    migrations = links.filter("event_id % 2 = 1").withColumnRenamed("link", "mint")
     trades = rows.filter("event_type <> 'signup'").select(
-        "event_id", F.col("event_id").alias("slot"), F.lit(None).cast("string").alias("mint"),
-        F.when(F.col("event_id") % 9 > 0, F.col("pool")).alias("pool"),
+        "event_id", "slot", F.lit(None).cast("string").alias("mint"),
+        F.when(number % 9 > 0, F.col("pool")).alias("pool"),
     )
-    return pit.resolve_mints(trades, pools, migrations).select(
+    return pit.resolve_mints(trades, pools, migrations, rows).select(
         "event_id", "pool", "resolved_mint"
     )
 

@@ -324,6 +324,11 @@ def test_units_are_exact(spark):
     rows = df.select(pit.unit_amount(F.col("r").cast("decimal(20,0)"), F.col("d"))).collect()
     assert [f"{r[0]:f}" for r in rows] == [
         "18446744073.709551615000000000", "0.000000000000000001"]
+    far = spark.createDataFrame([("120", 30), ("7", 0), ("1234", 2), (None, 3), ("5", None)], "r string, d int")
+    raw = F.col("r").cast("decimal(20,0)")
+    got = far.select(pit.unit_amount(raw, F.col("d")), pit.unit_text(raw, F.col("d"))).collect()
+    assert got[0][0] is None and [r[1] for r in got] == [
+        "0." + "0" * 27 + "120", "7", "12.34", None, None]
 
 
 def test_raw_append_and_datasets(spark, tmp_path):
