@@ -17,7 +17,7 @@ WINDOW = 5  # words of a repeated passage
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MAX_SYMBOL_PERCENT = 10  # symbols against characters in words
-MAX_DUP_LINE_PERCENT = 30  # repeated lines against lines with a word
+MAX_DUP_LINE_PERCENT = 50  # repeated lines against lines with a word
 MAX_HOST_RATE = 0.5  # shrunk share of a host's documents that may fail a rule
 RULES = ("short", "repeats", "symbols", "dup_lines")
 

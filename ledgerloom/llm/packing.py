@@ -27,7 +27,7 @@ from ledgerloom.llm.common import whole
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 8 << 20  # UTF-8 bytes of text that a shard is meant to hold
-CACHED_WORDS = 300_000  # words whose ids a task keeps, for speed only
+CACHED_WORDS = 400_000  # words whose ids a task keeps, for speed only
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -59,31 +59,31 @@ class WordIds:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _letters(self, text: str) -> bytes:
-        text = text.lower()
-        ids = self.letters.get(text)
-        if ids is None:
-            found = self.model.tokenize(text.translate(self.bytes))
-            ids = self.letters[text] = array("I", [t.id for t in found]).tobytes()
-        return ids
-
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """A mapping that holds at least ``words``."""
-        if len(self.known) + len(words) > CACHED_WORDS:
-            self.known.clear()
-            self.letters.clear()
+        known, letters, marks, tokenize = self.known, self.letters, self.marks, self.model.tokenize
+        if len(known) + len(words) > CACHED_WORDS:
+            known.clear()
+        if len(letters) + len(words) > CACHED_WORDS:
+            letters.clear()
         others = []
-        for word in words.difference(self.known):
+        for word in words.difference(known):
             text = word.decode(errors="replace")
-            stem, mark = (text[:-1], text[-1]) if text[-1] in self.marks else (text, "")
-            if stem.isalpha() and max(stem) < "\u0100":
-                self.known[word] = self._letters(stem) + self.marks.get(mark, b"")
+            mark = marks.get(text[-1], b"")
+            stem = text[:-1] if mark else text
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0100"):
+                stem = stem.lower()
+                ids = letters.get(stem)
+                if ids is None:
+                    found = tokenize(stem if stem.isascii() else stem.translate(self.bytes))
+                    ids = letters[stem] = array("I", [t.id for t in found]).tobytes()
+                known[word] = ids + mark
             else:
                 others.append((word, text))
         if others:
             found = self._whole([text for _, text in others])
-            self.known.update((w, ids) for (w, _), ids in zip(others, found, strict=True))
-        return self.known
+            known.update((w, ids) for (w, _), ids in zip(others, found, strict=True))
+        return known
 
 
 def _tokenize(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
