@@ -223,8 +223,9 @@ def flush_rates(
 def ema_rates(flushes: DataFrame) -> DataFrame:
     """Smoothed rate after each flush, seeded with the first; in millirps, rounded half to even.
 
-    Inside a block of flushes the recurrence is a weighted running sum. A block needs one carried
-    number from the block before it; anything older has decayed below double resolution.
+    Inside a block of flushes the recurrence is a weighted running sum. What blocks before it carry
+    into a block is the sum of their ends, each decayed over the blocks between; four blocks back
+    that factor is zero in doubles.
     """
     blocked = flushes.withColumn("_b", F.floor(F.col("flush") / F.lit(EMA_BLOCK))).withColumn(
         "_i", F.col("flush") % F.lit(EMA_BLOCK)
@@ -233,9 +234,19 @@ def ema_rates(flushes: DataFrame) -> DataFrame:
     term = F.col("rate") * weight * F.pow(F.lit(DECAY), -F.col("_i"))
     inside = Window.partitionBy("_b").orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
     partial = blocked.withColumn("_own", F.sum(term).over(inside) * F.pow(F.lit(DECAY), "_i"))
-    ends = partial.filter(F.col("_i") == EMA_BLOCK - 1).select(
-        (F.col("_b") + 1).alias("_b"), F.col("_own").alias("_carry")
+    later = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    (F.col("_b") + 1 + k).alias("_b"),
+                    (F.col("_own") * F.lit(DECAY ** (EMA_BLOCK * k))).alias("_carry"),
+                )
+                for k in range(4)
+            ]
+        )
     )
+    ends = partial.filter(F.col("_i") == EMA_BLOCK - 1).select(later.alias("c"))
+    ends = ends.groupBy("c._b").agg(F.sum("c._carry").alias("_carry"))
     ema = F.col("_own") + F.coalesce("_carry", F.lit(0.0)) * F.pow(F.lit(DECAY), F.col("_i") + 1)
     return partial.join(ends, "_b", "left").select(
         "flush",

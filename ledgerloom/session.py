@@ -5,6 +5,8 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +43,10 @@ def build_session(app: str = "ledgerloom", master: str | None = None, **conf: st
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
+        # Keyed state of streams lies on disk, not in the executors' heap.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         **SESSION,
         **conf,
     }
@@ -80,6 +86,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``materialize`` for a job that is done with the table at the end: it is removed then."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast only when it is counted to be within ``max_rows``."""
     if df.limit(max_rows + 1).count() <= max_rows:
