@@ -5,8 +5,10 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Iterator
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,14 @@ def broadcast_within(df: DataFrame, rows: int, most: int = 200_000) -> DataFrame
     return F.broadcast(df) if rows <= most else df
 
 
+def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, with the memory of each given back before the next: workers outlive their tasks."""
+    for batch in batches:
+        yield batch
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def whole(column: Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(column, F.lit(""))

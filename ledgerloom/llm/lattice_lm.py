@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize, whole
+from ledgerloom.llm.common import batches_of, materialize, whole
 
 HEAD = 50_000  # most frequent words, known to every task
 HELD_WORDS = 300_000  # distinct words a task counts before it hands them on
@@ -53,7 +53,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends[:] = [0, 0]
         return batch
 
-    for batch in batches:
+    for batch in batches_of(batches):
         for text, train in zip(batch.column("text").to_pylist(), batch.column("train").to_pylist(), strict=True):
             found = tokens(text)
             n.update(found)
@@ -82,7 +82,7 @@ def _segment(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     total = np.zeros(model.get_piece_size(), np.int64)
-    for batch in batches:
+    for batch in batches_of(batches):
         for first in range(0, batch.num_rows, 4096):
             part = batch.slice(first, 4096)
             found = model.encode([w.decode(errors="replace") for w in part.column("word").to_pylist()], num_threads=1)
@@ -146,7 +146,7 @@ def _hash(word: bytes) -> int:
 
 def _score_words(weights: dict[str, float], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     longest = max(map(len, weights))
-    for batch in batches:
+    for batch in batches_of(batches):
         found = batch.column("word").to_pylist()
         scores = [word_score(w, weights, longest) / math.log(10) for w in found]
         yield pa.RecordBatch.from_arrays(
@@ -164,7 +164,7 @@ def _score_docs(
     known: dict[bytes, int] = {}
     digest = xxhash.xxh64_intdigest
     log_end = math.log10(end[0] + 1)
-    for batch in batches:
+    for batch in batches_of(batches):
         sums: list[tuple] = []
         for text in batch.column("text").to_pylist():
             found = Counter(tokens(text))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import broadcast_within, materialize, whole
+from ledgerloom.llm.common import batches_of, broadcast_within, materialize, whole
 from ledgerloom.llm.components import components
 
 COUNTED = 1.75  # share of all shingles that are counted at first, in shares a set may lack
@@ -89,7 +89,7 @@ def _lists(found: list[np.ndarray]) -> pa.ListArray:
 def _heads(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and id of each set, and its hashes below the border."""
     border = _border(percent)
-    for batch in batches:
+    for batch in batches_of(batches):
         for first in range(0, batch.num_rows, 512):
             part = batch.slice(first, 512)
             found = [shingles(t, width) for t in part.column("text").to_pylist()]
@@ -105,7 +105,7 @@ def _heads(width: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Itera
 
 
 def _whole_sets(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in batches_of(batches):
         for first in range(0, batch.num_rows, 512):
             found = [shingles(t, width) for t in batch.slice(first, 512).column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -175,7 +175,7 @@ def boundary(list_length: float, percent: int) -> int:
 
 def _enumerate(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Hashes of the subsets of small sets, with what each lacks of its set."""
-    for batch in batches:
+    for batch in batches_of(batches):
         keys, sets, sizes, lacks = [], [], [], []
         for cid, found in zip(batch.column("cid").to_pylist(), batch.column("shingles"), strict=True):
             found = found.values.to_numpy().astype(np.uint64)
@@ -250,7 +250,7 @@ def _cross_pairs(lists: DataFrame, done: DataFrame, labels: DataFrame, small: in
 
 def _check(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Which pairs link, by their whole sets."""
-    for batch in batches:
+    for batch in batches_of(batches):
         linked = []
         for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
             x, y = x.values.to_numpy(), y.values.to_numpy()

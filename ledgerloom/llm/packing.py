@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import whole
+from ledgerloom.llm.common import batches_of, whole
 
 WINDOW = 2048
 END_ID = 1
@@ -93,7 +93,7 @@ def _tokenize(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iter
     ids of a text are those of its words, one after the other.
     """
     ids_of, end = WordIds(path), array("I", [end_id]).tobytes()
-    for batch in batches:
+    for batch in batches_of(batches):
         for first in range(0, batch.num_rows, 256):
             part = batch.slice(first, 256)
             texts = [x.split() for x in part.column("text").to_pylist()]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import whole
+from ledgerloom.llm.common import batches_of, whole
 
 SAMPLE_ROWS = 3000  # labelled rows taken of each class, at most
 SAMPLE_BYTES = 20_000  # longer texts are not learned from
@@ -156,11 +156,13 @@ def _calibrate(model: Model, rows: np.ndarray, toxic: np.ndarray, rate: float, r
 
 
 def _describe(model: Model, batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple]:
+    """Each part of a batch with the features of its texts, a null one being empty."""
     distances = Distances(model)
-    for batch in batches:
+    for batch in batches_of(batches):
         for first in range(0, batch.num_rows, 512):
             part = batch.slice(first, 512)
-            found = [features(d, model.usual) for d in distances.of(part.column(text).to_pylist())]
+            texts = [t or b"" for t in part.column(text).cast(pa.binary()).to_pylist()]
+            found = [features(d, model.usual) for d in distances.of(texts)]
             yield part, np.array(found).reshape(len(found), -1)
 
 
@@ -236,16 +238,15 @@ def toxicity(docs: DataFrame, model: Model | None, text_col: str = "text", thres
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     if model is None:
         return docs.select(*kept, F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
-    # The text goes through as it is, so that what follows needs no join.
+    # All columns go through as they are, so that what follows needs no join.
     shape = docs.select(*kept).schema
-    text = "_text" if "_text" not in kept else "_" * (max(map(len, kept)) + 1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _describe(model, batches, text):
+        for part, found in _describe(model, batches, text_col):
             values = model.score(found) if len(found) else np.zeros(0)
             marks = (values >= threshold).astype("int32")
             columns = [part.column(c) for c in kept]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values), pa.array(marks)], [*kept, "score", "predicted"])
 
     out = shape.add("score", "double").add("predicted", "integer")
-    return docs.select(*kept, whole(F.col(text_col)).cast("binary").alias(text)).mapInArrow(score, out)
+    return docs.select(*kept).mapInArrow(score, out)
