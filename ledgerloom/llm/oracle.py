@@ -18,7 +18,83 @@ def _divided(level: str, children: str) -> str:
 _DOMAIN = "CASE regexp_extract(source, '([0-9]{1,9})$', 1) WHEN '' THEN 0 ELSE CAST(regexp_extract(source, '([0-9]{1,9})$', 1) AS INT) % 3 END"
 _AGAIN = "(page_id * 10 + 1 + page_id * 7919 % 1000)"
 
+_RULES = ("short", "repeats", "symbols", "dup_lines")
+
+
+def _prior(rule: str) -> str:
+    """Mean and strength of the beta prior of one rule, over the rows of ``hosts``."""
+    mean = f"((sum(f_{rule}) + 0.5::DOUBLE) / (sum(docs) + 1))"
+    spread = f"(avg((f_{rule} / docs) ^ 2) - 2 * {mean} * avg(f_{rule} / docs) + {mean} ^ 2)"
+    noise = f"({mean} * (1 - {mean}) * avg(1 / docs))"
+    most = "greatest(1.0::DOUBLE, sum(docs) / count(*))"
+    fitted = f"CASE WHEN {spread} > {noise} THEN {mean} * (1 - {mean}) / ({spread} - {noise}) - 1 ELSE {most} END"
+    return f"{mean} AS m_{rule}, least(greatest({fitted}, 1.0::DOUBLE), {most}) AS k_{rule}"
+
+
+_RATES = ", ".join(f"(f_{r} + m_{r} * k_{r}) / (docs + k_{r})" for r in _RULES)
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WORD = "[^\\x20\\x09-\\x0D]+"
+
 ORACLE = {
+    "op1_ngram_join": f"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') AS words
+          FROM documents),
+        sets AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+            WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+            ELSE list_transform(generate_series(1, len(words) - 2),
+                                lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2]) END) AS s
+          FROM w),
+        sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+        common AS (
+          SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+          FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (
+          SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+          WHERE 100 * k >= 90 * (p.n + q.n - k)),
+        reached AS (
+          SELECT doc_id, doc_id AS other FROM documents
+          UNION
+          SELECT doc_id, y FROM reached JOIN links ON x = other)
+        SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+        FROM reached r LEFT JOIN sizes z ON z.doc_id = r.doc_id GROUP BY r.doc_id
+    """,
+    "op7_host_rules": f"""
+        WITH d AS (
+          SELECT doc_id, source, coalesce(text, '') AS text,
+                 regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words,
+                 list_filter(string_split(coalesce(text, ''), chr(10)),
+                             lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+          FROM documents),
+        places AS (SELECT doc_id, words, unnest(generate_series(1, len(words) - 4)) AS i FROM d WHERE len(words) > 4),
+        twice AS (
+          SELECT doc_id, i FROM places
+          QUALIFY count(*) OVER (PARTITION BY doc_id, words[i:i + 4]) > 1),
+        covered AS (
+          SELECT doc_id, count(DISTINCT spot) AS n
+          FROM (SELECT doc_id, unnest(generate_series(i, i + 4)) AS spot FROM twice) GROUP BY doc_id),
+        m AS (
+          SELECT d.doc_id, source, len(words)::BIGINT AS n_words,
+                 length(regexp_replace(text, '{_WS}+', '', 'g')) AS word_chars,
+                 length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                 (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines) AS n_lines,
+                 coalesce(covered.n, 0) AS n_repeat_words
+          FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id),
+        judged AS (
+          SELECT *, n_words < 10 AS short, 100 * n_repeat_words > 20 * n_words AS repeats,
+                 100 * n_symbols > 10 * word_chars AS symbols, 100 * n_dup_lines > 50 * n_lines AS dup_lines
+          FROM m),
+        hosts AS (
+          SELECT source, count(*)::DOUBLE AS docs, {", ".join(f"sum({r}::INT)::DOUBLE AS f_{r}" for r in _RULES)}
+          FROM judged WHERE source IS NOT NULL GROUP BY source),
+        prior AS (SELECT {", ".join(map(_prior, _RULES))} FROM hosts),
+        rates AS (SELECT source, greatest({_RATES}) AS rate FROM hosts, prior)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               short OR repeats AS base_failed,
+               NOT (short OR repeats OR symbols OR dup_lines OR coalesce(rate > 0.5, FALSE)) AS kept
+        FROM judged LEFT JOIN rates ON rates.source = judged.source
+    """,
     "op5_revisit": f"""
         WITH pages_ AS (
           SELECT *, md5(coalesce(html, '')) AS tag, regexp_replace(trim(url), '#.*$', '') AS bare FROM pages),
