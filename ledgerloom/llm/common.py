@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import posixpath
 import tempfile
 import uuid
@@ -60,6 +62,19 @@ def batches_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
+def returned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a whole task; what making them took then goes back to the system.
+
+    Python workers outlive their tasks, and would hold it through stages that need none of it.
+    """
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def whole(column: Column) -> Column:
     """The text, null as empty."""
     return F.coalesce(column, F.lit(""))

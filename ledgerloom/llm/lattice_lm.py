@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batches_of, materialize, whole
+from ledgerloom.llm.common import batches_of, materialize, returned, whole
 
 HEAD = 50_000  # most frequent words, known to every task
 HELD_WORDS = 300_000  # distinct words a task counts before it hands them on
@@ -70,7 +70,7 @@ def count_words(docs: DataFrame, train: Column, text_col: str = "text") -> DataF
     """word, c (in training texts), n (in all texts). The end of texts has the null word."""
     rows = docs.select(whole(F.col(text_col)).cast("binary").alias("text"), F.coalesce(train, F.lit(True)).alias("train"))
     return (
-        rows.mapInArrow(_count, "word binary, c long, n long")
+        rows.mapInArrow(lambda it: returned(_count(it)), "word binary, c long, n long")
         .groupBy("word")
         .agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
     )
@@ -103,7 +103,7 @@ def piece_weights(words: DataFrame, path: str, ends: int) -> dict[str, float]:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     size = model.get_piece_size()
     counted = words.where(F.col("word").isNotNull() & (F.col("c") > 0)).select("word", "c")
-    sums = counted.mapInArrow(lambda it: _segment(path, it), "piece long, times long").groupBy("piece")
+    sums = counted.mapInArrow(lambda it: returned(_segment(path, it)), "piece long, times long").groupBy("piece")
     times = np.zeros(size)
     for row in sums.agg(F.sum("times").alias("times")).collect():
         times[row["piece"]] = row["times"]
@@ -214,7 +214,7 @@ def lattice_scores(
     train_tokens, kinds, ends = totals["tokens"] or 0, totals["kinds"] or 0, totals["ends"] or 0
     weights = piece_weights(words, vocabulary, ends)
     proper = words.where(F.col("word").isNotNull())
-    scored = materialize(proper.mapInArrow(lambda it: _score_words(weights, it), SCORED), "scored")
+    scored = materialize(proper.mapInArrow(lambda it: returned(_score_words(weights, it)), SCORED), "scored")
     frequent = {
         r["h"]: (int(r["c"] > 0), math.log10(r["c"] + 1), r["score"])
         for r in scored.orderBy(F.desc("n"), "h").limit(head).toLocalIterator()
@@ -227,7 +227,7 @@ def lattice_scores(
         (~F.coalesce(train, F.lit(True))).alias("held_out"),
         text.cast("binary").alias("text"),
     )
-    sums = materialize(rows.mapInArrow(lambda it: _score_docs(frequent, end, it), DOCS), "sums")
+    sums = materialize(rows.mapInArrow(lambda it: returned(_score_docs(frequent, end, it)), DOCS), "sums")
     tail = sums.select(
         "key", F.posexplode(F.arrays_zip("tail", "times")).alias("at", "w")
     ).select("key", F.col("w.tail").alias("h"), F.col("w.times").alias("times"), (F.col("at") == 0).cast("int").alias("first"))

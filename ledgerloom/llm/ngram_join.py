@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batches_of, broadcast_within, materialize, whole
+from ledgerloom.llm.common import batches_of, broadcast_within, materialize, returned, whole
 from ledgerloom.llm.components import components
 
 COUNTED = 1.75  # share of all shingles that are counted at first, in shares a set may lack
@@ -135,7 +135,7 @@ def _survivors(texts: DataFrame, heads: DataFrame, width: int, percent: int) ->
     kept = materialize(kept.select("cid", "id"), "kept")
     wanted = broadcast_within(kept.select(F.col("id").alias("wanted")).distinct(), kept.count())
     again = texts.join(wanted, F.col("id").eqNullSafe(F.col("wanted")), "left_semi").select("text")
-    read = again.mapInArrow(lambda it: _whole_sets(width, it), SETS)
+    read = again.mapInArrow(lambda it: returned(_whole_sets(width, it)), SETS)
     # Rows of one id may have other sets too.
     return materialize(read.join(kept.select("cid"), "cid", "left_semi").dropDuplicates(["cid"]), "survivors")
 
@@ -198,7 +198,7 @@ def _enumerate(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 def _small_links(sets: DataFrame, small: int, percent: int) -> DataFrame:
     """Links (a, b) between sets of at most ``small`` shingles: with the set that lacks least of a subset."""
     few = sets.where(F.col("n") <= small).select("cid", "shingles")
-    rows = materialize(few.mapInArrow(lambda it: _enumerate(percent, it), "key long, size int, cid long, d int"), "subsets")
+    rows = materialize(few.mapInArrow(lambda it: returned(_enumerate(percent, it)), "key long, size int, cid long, d int"), "subsets")
     least = rows.groupBy("key", "size").agg(
         F.min(F.struct("d", "cid")).alias("least"), F.count(F.lit(1)).alias("n")
     )
@@ -265,7 +265,7 @@ def _check(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     with_x = pairs.join(sets.select(F.col("cid").alias("a"), F.col("shingles").alias("x")), "a")
     with_both = with_x.join(sets.select(F.col("cid").alias("b"), F.col("shingles").alias("y")), "b")
-    found = with_both.select("a", "b", "x", "y").mapInArrow(lambda it: _check(percent, it), "a long, b long")
+    found = with_both.select("a", "b", "x", "y").mapInArrow(lambda it: returned(_check(percent, it)), "a long, b long")
     return materialize(found, "linked")
 
 
@@ -281,7 +281,7 @@ def ngram_groups(
     columns are not read.
     """
     texts = _texts(docs, id_col, text_col)
-    heads = materialize(texts.mapInArrow(lambda it: _heads(width, percent, it), HEADS), "heads")
+    heads = materialize(texts.mapInArrow(lambda it: returned(_heads(width, percent, it)), HEADS), "heads")
     filled = heads.where("n > 0")
     sets = _survivors(texts, filled, width, percent)
     lists = materialize(_prefixes(sets, percent), "lists")

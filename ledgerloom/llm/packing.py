@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batches_of, whole
+from ledgerloom.llm.common import batches_of, returned, whole
 
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 8 << 20  # UTF-8 bytes of text that a shard is meant to hold
-CACHED_WORDS = 400_000  # words whose ids a task keeps, for speed only
+CACHED_WORDS = 200_000  # words whose ids a task keeps, for speed only
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -117,7 +117,7 @@ def tokenized(
         F.col(id_col).cast("long").alias("doc_id"),
         text.cast("binary").alias("text"),
     )
-    return rows.mapInArrow(lambda it: _tokenize(vocabulary, end_id, it), "shard long, doc_id long, ids binary")
+    return rows.mapInArrow(lambda it: returned(_tokenize(vocabulary, end_id, it)), "shard long, doc_id long, ids binary")
 
 
 def fill(counts: np.ndarray, target: int) -> dict[int, int]:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import batches_of, whole
+from ledgerloom.llm.common import batches_of, returned, whole
 
 SAMPLE_ROWS = 3000  # labelled rows taken of each class, at most
 SAMPLE_BYTES = 20_000  # longer texts are not learned from
@@ -35,7 +35,7 @@ LEVEL = 19
 SHARED = 5  # a window with no run of so many bytes from the toxic dictionary alone has distance none
 STEPS = (3, 4, 5, 6, 7, 9)  # distances, in bytes, that windows are counted by
 THRESHOLD = 0.3  # score from which a document is predicted toxic
-CACHED_WINDOWS = 300_000  # distances a task keeps, for speed only
+CACHED_WINDOWS = 200_000  # distances a task keeps, for speed only
 NONE = -(10**6)
 
 
@@ -222,7 +222,7 @@ def fit(
 
     # Bounded: at most sample_rows rows of a few numbers.
     spread = calibration.repartition(spark.sparkContext.defaultParallelism)
-    described = spread.mapInArrow(describe, "toxic boolean, f array<double>").toPandas()
+    described = spread.mapInArrow(lambda it: returned(describe(it)), "toxic boolean, f array<double>").toPandas()
     counts = known.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     described = described.iloc[np.lexsort(np.array(described["f"].tolist()).T)]
     _calibrate(model, np.array(described["f"].tolist()), described["toxic"].to_numpy(bool), min(max(counts, 0.01), 0.99))
@@ -249,4 +249,4 @@ def toxicity(docs: DataFrame, model: Model | None, text_col: str = "text", thres
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values), pa.array(marks)], [*kept, "score", "predicted"])
 
     out = shape.add("score", "double").add("predicted", "integer")
-    return docs.select(*kept).mapInArrow(score, out)
+    return docs.select(*kept).mapInArrow(lambda it: returned(score(it)), out)
