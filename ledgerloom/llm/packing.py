@@ -27,7 +27,7 @@ from ledgerloom.llm.common import batches_of, returned, whole
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 8 << 20  # UTF-8 bytes of text that a shard is meant to hold
-CACHED_WORDS = 200_000  # words whose ids a task keeps, for speed only
+CACHED_WORDS = 60_000  # words whose ids a task keeps, for speed only
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
