@@ -1,10 +1,12 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text. A window of a text,
-set behind a fixed lead of ordinary words so that short windows compress at all, is compressed with
-either dictionary; the bytes that the toxic one saves are its distance. A document is described by
-how many of its windows reach each of a few distances, and a calibrated logistic function of those
-counts is its score.
+Two zstandard dictionaries are trained, one on toxic and one on ordinary text. Every window of a
+text is compressed with the ordinary dictionary alone and with the toxic one behind it; the bytes
+that the toxic one saves are its distance. Windows are the single words, each set behind a fixed
+lead of ordinary words so that it compresses at all, and runs of several words that overlap by half,
+which see what ordinary words say in sequence. A document is described by how many of its windows of
+either kind reach each of a few distances, and a calibrated logistic function of those counts is its
+score.
 
 Only the fit sees labels: it takes a bounded sample of labelled rows, one half of which trains the
 dictionaries and the other half calibrates. Scoring reads every window of every text, one document
@@ -13,8 +15,9 @@ at a time, and shuffles nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -31,12 +34,13 @@ ORDINARY_BYTES = 192 << 10  # size of the dictionary of ordinary text
 TOXIC_BYTES = 32 << 10  # size of the dictionary of toxic text
 TEXT_PER_BYTE = 20  # text for each byte of a dictionary; from less text a smaller one is trained
 LEAD_BYTES = 60
-LEVEL = 19
-SHARED = 5  # a window with no run of so many bytes from the toxic dictionary alone has distance none
-STEPS = (3, 4, 5, 6, 7, 9)  # distances, in bytes, that windows are counted by
+RUN_WORDS, RUN_STRIDE = 8, 4  # words of a run, and from one run to the next: each word lies in two
+WORD_LEVEL, RUN_LEVEL = 19, 6
+STEPS = (1, 2, 3, 4, 5, 6, 7, 9)  # distances, in bytes, that windows are counted by
+LOSS = 4  # bytes lost by the toxic dictionary from which a window counts as ordinary
 THRESHOLD = 0.3  # score from which a document is predicted toxic
-CACHED_WINDOWS = 200_000  # distances a task keeps, for speed only
-NONE = -(10**6)
+CACHED_WINDOWS = 200_000  # distances of words a task keeps, for speed only
+CALL_WINDOWS = 20_000  # windows compressed in one call
 
 
 @dataclass
@@ -46,7 +50,7 @@ class Model:
     ordinary: bytes
     toxic: bytes
     lead: bytes
-    usual: float = 0.0
+    usual: tuple[float, float] = (0.0, 0.0)
     mean: np.ndarray | None = None
     scale: np.ndarray | None = None
     weights: np.ndarray | None = None
@@ -57,19 +61,25 @@ class Model:
 
 
 def words(text: bytes) -> list[bytes]:
-    """The words of a text, A to Z in lower case. A window is one of them, a blank on either side."""
+    """The words of a text, A to Z in lower case."""
     return text.lower().split()
 
 
+def runs(words: list[bytes]) -> list[bytes]:
+    """Runs of words that cover all of them, the last one shorter where they end."""
+    first = range(0, max(1, len(words) - RUN_WORDS + RUN_STRIDE), RUN_STRIDE) if words else ()
+    return [b" ".join(words[i : i + RUN_WORDS]) for i in first]
+
+
 class Distances:
-    """Distances of windows; equal windows are compressed once."""
+    """Distances of all windows; equal words are compressed once."""
 
     def __init__(self, model: Model):
         import zstandard
 
-        def compressor(dictionary: bytes):
+        def compressor(dictionary: bytes, level: int):
             settings = zstandard.ZstdCompressionParameters.from_level(
-                LEVEL,
+                level,
                 source_size=LEAD_BYTES,
                 dict_size=len(dictionary),
                 write_content_size=0,
@@ -77,48 +87,60 @@ class Distances:
                 write_checksum=0,
             )
             loaded = zstandard.ZstdCompressionDict(dictionary)
+            loaded.precompute_compress(compression_params=settings)
             return zstandard.ZstdCompressor(dict_data=loaded, compression_params=settings)
 
-        self.pair = compressor(model.ordinary), compressor(model.toxic)
-        ordinary = {model.ordinary[i : i + SHARED] for i in range(len(model.ordinary))}
-        self.own = {model.toxic[i : i + SHARED] for i in range(len(model.toxic))} - ordinary
+        # What ordinary text shares with toxic text compresses alike on both sides.
+        sides = model.ordinary, model.ordinary + model.toxic
+        self.word_pair = [compressor(side, WORD_LEVEL) for side in sides]
+        self.run_pair = [compressor(side, RUN_LEVEL) for side in sides]
         self.lead = model.lead
         self.known: dict[bytes, int] = {}
 
+    @staticmethod
+    def _saved(pair: list, windows: Iterable[bytes]) -> list[int]:
+        """Bytes saved in each window, many of them compressed in one call."""
+        out, windows = [], iter(windows)
+        while part := list(islice(windows, CALL_WINDOWS)):
+            a, b = (c.multi_compress_to_buffer(part, threads=0) for c in pair)
+            out += [len(a[i]) - len(b[i]) for i in range(len(part))]
+        return out
+
     def learn(self, found: set[bytes]) -> None:
-        """Compress the windows not met before, all in one call: each call loads the dictionary anew."""
+        """Compress the words not met before."""
         if len(self.known) > CACHED_WINDOWS:
             self.known.clear()
-        known, own, hard = self.known, self.own, []
-        for word in found.difference(known):
-            w = b" " + word + b" "
-            for i in range(len(w) - SHARED + 1):
-                if w[i : i + SHARED] in own:
-                    hard.append(word)
-                    break
-            else:
-                known[word] = NONE
-        if hard:
-            texts = [b"%b %b " % (self.lead, word) for word in hard]
-            a, b = (c.multi_compress_to_buffer(texts, threads=0) for c in self.pair)
-            known.update((w, len(a[i]) - len(b[i])) for i, w in enumerate(hard))
-
-    def of(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Distances of the windows of each text."""
+        new = list(found.difference(self.known))
+        saved = self._saved(self.word_pair, (b"%b %b " % (self.lead, word) for word in new))
+        self.known.update(zip(new, saved, strict=True))
+
+    def of(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Distances of the words, and of the runs, of each text."""
         found = [words(t) for t in texts]
         self.learn(set().union(*found))
-        known = self.known
-        return [np.array([known[w] for w in x], np.int64) for x in found]
+        known, sizes = self.known, []
+
+        def windows() -> Iterator[bytes]:
+            for x in found:
+                of_text = runs(x)
+                sizes.append(len(of_text))
+                yield from of_text
+
+        saved = np.array(self._saved(self.run_pair, windows()), np.int64)
+        parts = np.split(saved, np.cumsum(sizes)[:-1]) if sizes else []
+        return [(np.array([known[w] for w in x], np.int64), r) for x, r in zip(found, parts, strict=True)]
 
 
-def features(distances: np.ndarray, usual: float) -> list[float]:
+def features(distances: tuple[np.ndarray, np.ndarray], usual: tuple[float, float]) -> list[float]:
     """Counts and shares of windows by distance, on scales on which few and many differ alike."""
-    n, x, out = max(1, len(distances)), distances - usual, []
-    for step in STEPS:
-        reached = int((x >= step).sum())
-        out += [np.sqrt(reached / n), np.log1p(reached)]
-    other = int(((x <= -STEPS[1]) & (distances > NONE)).sum())
-    return [*out, np.sqrt(other / n), np.log1p(n)]
+    out = []
+    for of_kind, middle in zip(distances, usual, strict=True):
+        n, x = max(1, len(of_kind)), of_kind - middle
+        for step in STEPS:
+            reached = int((x >= step).sum())
+            out += [np.sqrt(reached / n), np.log1p(reached)]
+        out += [np.sqrt(int((x <= -LOSS).sum()) / n), np.log1p(n)]
+    return out
 
 
 def _dictionary(texts: list[bytes], size: int) -> bytes:
@@ -211,9 +233,8 @@ def fit(
         b" ".join(learned[False][0].split())[:LEAD_BYTES],
     )
     checked = [x for half in halves.values() for x in half[1::2]]
-    usual = [d[d > NONE] for d in Distances(model).of([x[3] for x in checked[-200:]])]
-    usual = np.concatenate(usual)
-    model.usual = float(np.median(usual)) if len(usual) else 0.0
+    kinds = zip(*Distances(model).of([x[3] for x in checked[-200:]]), strict=True)
+    model.usual = tuple(float(np.median(d)) if len(d) else 0.0 for d in map(np.concatenate, kinds))
     calibration = spark.createDataFrame([(x[2], x[3]) for x in checked], "toxic boolean, text binary")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

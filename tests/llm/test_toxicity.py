@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.toxicity import fit, toxicity
+from ledgerloom.llm.toxicity import Distances, Model, fit, toxicity
 from tests.llm.rows import frame, odd
 
 INSULTS = ["blockhead", "nitwitted", "dimbulbish", "foulmouthed", "wretchbag"]
@@ -61,3 +61,51 @@ def test_without_labels_nothing_is_toxic(spark):
     assert {(r.score, r.predicted) for r in toxicity(docs, fit(docs, none, F.lit(True))).collect()} == {(0.0, 0)}
     empty = frame(spark, [])
     assert toxicity(empty, fit(empty, none, F.lit(True))).count() == 0
+
+
+PHRASES = ["bato remi kalu", "vida sone tore", "lure bami daka"]
+
+
+def said(seed, toxic):
+    """Four times the nine words of the phrases: in the phrases' order only where toxic."""
+    draw, parts = random.Random(seed), []
+    for _ in range(4):
+        nine = " ".join(draw.sample(PHRASES, 3)).split()
+        if not toxic:
+            draw.shuffle(nine)
+        for i in range(0, 9, 3):
+            parts += [*nine[i : i + 3], *text(draw.random(), False).split()[: draw.randrange(2)]]
+    return " ".join(parts)
+
+
+def test_ordinary_words_in_a_toxic_sequence_are_found(spark):
+    rows = [(i, said(i, i % 3 == 0)) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(600)], "doc_id long, toxic int")
+    docs = frame(spark, rows)
+    got = toxicity(docs, fit(docs, labels, F.col("doc_id") % 4 != 2)).where("doc_id % 4 = 2").collect()
+    assert sum(r.predicted == (r.doc_id % 3 == 0) for r in got) >= 0.9 * len(got)
+
+
+def test_every_window_is_compressed():
+    model = Model(b"re to mi ka lu ne so vi da ba " * 30, b"blockhead nitwitted dimbulbish " * 30, b"re to mi ka lu")
+    distances = Distances(model)
+    seen = {"word": [], "run": []}
+
+    def counting(kind, pair):
+        class Counted:
+            def __init__(self, inner):
+                self.inner = inner
+
+            def multi_compress_to_buffer(self, parts, threads):
+                seen[kind] += parts
+                return self.inner.multi_compress_to_buffer(parts, threads=threads)
+
+        return [Counted(pair[0]), pair[1]]
+
+    distances.word_pair, distances.run_pair = counting("word", distances.word_pair), counting("run", distances.run_pair)
+    texts = [b"Re to mi", b"", b"a b c d e f g h i blockhead", b"a b c d e f g h"]
+    found = distances.of(texts)
+    assert [len(w) for w, _ in found] == [3, 0, 10, 8]
+    assert sorted(seen["word"]) == sorted(b"re to mi ka lu %b " % w for w in set(b" ".join(texts).lower().split()))
+    assert seen["run"] == [b"re to mi", b"a b c d e f g h", b"e f g h i blockhead", b"a b c d e f g h"]
+    assert [len(r) for _, r in found] == [1, 0, 2, 1] and found[2][0][9] > 0
