@@ -35,6 +35,18 @@ _RATES = ", ".join(f"(f_{r} + m_{r} * k_{r}) / (docs + k_{r})" for r in _RULES)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WORD = "[^\\x20\\x09-\\x0D]+"
 
+
+def _terms(text: str) -> str:
+    """Lexical terms of a text: runs of ASCII letters, digits and characters beyond ASCII."""
+    small = f"translate({text}, '{_UPPER}', '{_LOWER}')"
+    return f"regexp_extract_all({small}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+_VECTORS = """
+        v AS (
+          SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
 ORACLE = {
     "op1_ngram_join": f"""
         WITH RECURSIVE w AS (
@@ -204,4 +216,49 @@ ORACLE = {
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id
                             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)
     """,
+    "op11_lexical": f"""
+        WITH found AS (SELECT doc_id, unnest({_terms("documents.text")}) AS term FROM documents),
+        t AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+        d AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM t GROUP BY doc_id),
+        s AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS occurrences FROM d),
+        w AS (
+          SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+          FROM t, s GROUP BY term, n_docs),
+        q AS (SELECT DISTINCT item_id, unnest({_terms("benchmark.text")}) AS term FROM benchmark),
+        scored AS (
+          SELECT item_id, doc_id,
+                 sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // occurrences))))::BIGINT AS score
+          FROM q JOIN t USING (term) JOIN w USING (term) JOIN d USING (doc_id), s GROUP BY item_id, doc_id),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+          FROM scored WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
+    "op12_vector_topk": f"""
+        WITH {_VECTORS},
+        ranked AS (
+          SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score,
+                 row_number() OVER (PARTITION BY q.vec_id ORDER BY list_inner_product(q.v, c.v) DESC, c.vec_id)::INTEGER AS rank
+          FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+    """,
+    "op13_hard_negatives": f"""
+        WITH {_VECTORS},
+        l AS (
+          SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+          FROM v WHERE label IS NOT NULL),
+        pairs AS (
+          SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+          FROM l a JOIN l b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        positives AS (
+          SELECT * FROM pairs WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+        ranked AS (
+          SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score,
+                 n.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+          FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
+           AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+    """,
 }

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import fold, table
 from ledgerloom.llm.exact_dedup import exact_dedup
+from ledgerloom.llm.hard_negatives import hard_negatives
 from ledgerloom.llm.host_rules import host_rules
 from ledgerloom.llm.lattice_lm import lattice_scores
+from ledgerloom.llm.lexical import lexical_topk
 from ledgerloom.llm.line_dedup import line_dedup
 from ledgerloom.llm.mixing import mix, word_count
 from ledgerloom.llm.ngram_join import ngram_groups
@@ -16,6 +18,7 @@ from ledgerloom.llm.packing import pack
 from ledgerloom.llm.pii import KINDS, personal_data, written
 from ledgerloom.llm.revisit import captures, resolve
 from ledgerloom.llm.toxicity import fit, toxicity
+from ledgerloom.llm.vector_topk import vector_topk
 
 # Target weights of the mixture: among domains, and among the languages of each domain. Sources of
 # one language weigh the same.
@@ -137,6 +140,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents for every item of the benchmark."""
+    return lexical_topk(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
+def op12_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of all vectors for every one whose id is divisible by 50."""
+    return vector_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives for the anchors among all vectors; a seventh of the labels is moved by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
@@ -148,4 +167,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lattice_lm": op9_lattice_lm,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_lexical": op11_lexical,
+    "op12_vector_topk": op12_vector_topk,
+    "op13_hard_negatives": op13_hard_negatives,
 }
