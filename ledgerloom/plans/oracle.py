@@ -755,3 +755,41 @@ ORACLE["stream_collect"] = f"""
 WITH {LIFE}
 SELECT unnest(['tokens', 'completions', 'migrations', 'pools']) AS dataset, count(*) AS n,
   count(DISTINCT signature) AS signatures FROM done"""
+
+# --- features, labels and splits
+
+_PRICES = """prices AS (
+  SELECT user_id AS key, epoch_us(ts) AS time, event_id AS seq, value + 1 AS price FROM events),
+horizons AS (SELECT unnest([1, 6, 24, 72, 240, 600]) AS h),
+decisions AS (
+  SELECT DISTINCT key, min(time) + h * 3600000000 AS decision_us FROM prices, horizons GROUP BY key, h),
+entered AS (
+  SELECT d.*, (SELECT arg_max(price, (time, seq)) FROM prices p
+               WHERE p.key = d.key AND p.time <= d.decision_us) AS entry
+  FROM decisions d),
+known AS (SELECT max(time) AS known_until FROM prices)"""
+ORACLE["barrier_labels"] = f"""
+WITH {_PRICES}, touches AS (
+  SELECT e.key, e.decision_us, p.time, p.seq, p.price >= e.entry * 2 AS up
+  FROM entered e JOIN prices p ON p.key = e.key AND p.time > e.decision_us
+   AND p.time <= e.decision_us + 864000000000 AND (p.price >= e.entry * 2 OR p.price <= e.entry * (1 - 0.4::DOUBLE))),
+first_touch AS (
+  SELECT * FROM touches QUALIFY row_number() OVER (PARTITION BY key, decision_us ORDER BY time, seq) = 1)
+SELECT e.key, e.decision_us, e.entry,
+  CASE WHEN t.up THEN 'up' WHEN NOT t.up THEN 'down'
+    WHEN e.decision_us + 864000000000 <= known_until THEN 'none' END AS label, t.time AS touched_us
+FROM entered e CROSS JOIN known LEFT JOIN first_touch t ON t.key = e.key AND t.decision_us = e.decision_us"""
+ORACLE["forward_returns"] = f"""
+WITH {_PRICES}, later AS (SELECT *, unnest([6, 48, 240]) * 3600::BIGINT AS horizon_s FROM entered)
+SELECT key, decision_us, CAST(horizon_s AS INTEGER) AS horizon_s,
+  CASE WHEN decision_us + horizon_s * 1000000 <= known_until THEN
+    (SELECT arg_max(price, (time, seq)) FROM prices p
+     WHERE p.key = l.key AND p.time <= l.decision_us + l.horizon_s * 1000000) / entry - 1 END AS forward_return
+FROM later l, known"""
+ORACLE["walk_forward"] = f"""
+WITH {_PRICES}, placed AS (
+  SELECT seq, (time - min(time) OVER ()) / 86400000000.0::DOUBLE AS day, unnest([0, 1, 2, 3]) AS fold FROM prices)
+SELECT seq, CAST(fold AS INTEGER) AS fold, CASE WHEN day >= 10 + 4 * fold THEN 'test' ELSE 'train' END AS part
+FROM placed
+WHERE day >= 10 + 4 * fold AND day < 14 + 4 * fold
+   OR day >= 4 * fold - 0.25::DOUBLE AND day <= 8.75::DOUBLE + 4 * fold"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import event_id, partition_date, received_hour
-from ledgerloom.operators import dedupe, frames, metrics, pit, profile, recovery, scrub
+from ledgerloom.operators import dedupe, frames, labels, metrics, pit, profile, recovery, scrub
 from ledgerloom.operators.attribution import attribute
 from ledgerloom.operators.decode import decode, decode_fixed, encode_keys, events_of, quarantine_of
 from ledgerloom.operators.normalize import normalize, normalize_errors, route
@@ -1023,6 +1023,55 @@ def parity(spark, sf_dir):
     return pit.parity(obs, changed)
 
 
+# --- features, labels and splits -----------------------------------------------------------------
+
+_HOUR = 3600
+
+
+def _prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event is a trade of its user's token at a price above zero."""
+    return views.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("key"), F.unix_micros(F.col("ts").cast("timestamp")).alias("time"),
+        F.col("event_id").alias("seq"), (F.col("value") + 1).alias("price"),
+    )
+
+
+def _decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six horizons after the first trade of each token."""
+    origins = _prices(spark, sf_dir).groupBy("key").agg(F.min("time").alias("origin_us"))
+    return labels.decisions(origins, "origin_us", [k * _HOUR for k in (1, 6, 24, 72, 240, 600)])
+
+
+@query
+def barrier_labels(spark, sf_dir):
+    """Whether a token doubles before it loses 40 percent, within ten days of a decision."""
+    prices = _prices(spark, sf_dir)
+    until = prices.agg(F.max("time").alias("t")).first().t
+    return labels.barrier_labels(
+        _decisions(spark, sf_dir), prices, "key", "decision_us", 1.0, 0.4, 240 * _HOUR, 24 * _HOUR, until
+    )
+
+
+@query
+def forward_returns(spark, sf_dir):
+    """Returns of each token from each decision on."""
+    prices = _prices(spark, sf_dir)
+    until = prices.agg(F.max("time").alias("t")).first().t
+    return labels.forward_returns(
+        _decisions(spark, sf_dir), prices, "key", "decision_us", [k * _HOUR for k in (6, 48, 240)], until
+    )
+
+
+@query
+def walk_forward(spark, sf_dir):
+    """Every trade in four folds: ten days of training, four of test, labels of one day, six hours apart."""
+    prices = _prices(spark, sf_dir)
+    start = prices.agg(F.min("time").alias("t")).first().t or 0
+    day = 24 * _HOUR
+    split = labels.walk_forward(prices, "time", start, 4, 10 * day, 4 * day, day, 6 * _HOUR)
+    return split.select("seq", "fold", "part")
+
+
 # --- streaming -----------------------------------------------------------------------------------
 
 
