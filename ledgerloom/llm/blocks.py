@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROUND = 64  # slices whose best rows meet at once
+PARTITIONS = 100_000  # most partitions that groups are dealt to
 
 
 def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
@@ -50,6 +51,9 @@ def paired(blocks: DataFrame, queries: DataFrame, slices: int, bands: int):
     left = left.withColumn("band", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))))
     right = queries.withColumn("band", F.pmod(F.xxhash64("id"), F.lit(bands)).cast("int"))
     right = right.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))))
+    # One partition for each group, so that no task gets more of them as the tables grow.
+    n = min(slices * bands, PARTITIONS)
+    left, right = (df.repartition(n, "slice", "band") for df in (left, right))
     return left.groupBy("slice", "band").cogroup(right.groupBy("slice", "band"))
 
 
