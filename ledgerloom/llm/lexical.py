@@ -31,7 +31,7 @@ from ledgerloom.llm.common import batches_of, materialize, returned
 
 SHARD_DOCS = 4096
 SHARD_TERMS = 2_000_000  # occurrences of terms in a shard, but for its last document
-SLICE = 1_000_000  # postings of a slice, on average
+SLICE = 500_000  # postings of a slice, on average
 BAND = 10_000  # terms of a band's items, on average
 LEAF = 64  # documents of an interval that is scored whole
 OPENED = 64  # intervals split at once
@@ -65,53 +65,66 @@ def term_id(term: bytes) -> int:
     return xxh64_intdigest(term) - (1 << 63)
 
 
-def _shard(block: int, docs: list[tuple], lengths: int) -> pa.RecordBatch:
-    """Posting lists of documents (id, terms, counts): terms ascending, documents by their ids."""
-    docs.sort(key=lambda d: (d[0] is None, d[0] or 0))
-    numbers: dict[bytes, int] = {}
-    term = np.fromiter((numbers.setdefault(t, len(numbers)) for _, _, c in docs for t in c), np.int32)
-    count = np.fromiter((n for _, _, c in docs for n in c.values()), np.int32, len(term))
-    at = np.repeat(np.arange(len(docs), dtype=np.int16), [len(c) for _, _, c in docs])
-    held = np.fromiter(map(term_id, numbers), np.int64, len(numbers))
-    by = np.argsort(held)
-    place = np.empty(len(held), np.int32)
-    place[by] = np.arange(len(held))
-    order = np.argsort(place[term], kind="stable")
-    row = {
-        "block": block,
-        "docs": sum(n > 0 for _, n, _ in docs),
-        "occurrences": lengths,
-        "held": held[by],
-        "posted": np.bincount(place[term], minlength=len(held)),
-        # Documents without an id count, but are never found.
-        "ids": np.array([i or 0 for i, _, _ in docs], np.int64).tobytes(),
-        "named": bytes(i is not None for i, _, _ in docs),
-        "lengths": np.array([n for _, n, _ in docs], np.int64).tobytes(),
-        "at": at[order].astype("<i2").tobytes(),
-        "counts": count[order].astype("<i4").tobytes(),
-    }
-    return pa.RecordBatch.from_pylist([row], schema=_INDEX)
+class _Growing:
+    """A shard being filled: documents as arrays of term numbers and counts, and the numbers' terms."""
+
+    def __init__(self):
+        self.docs: list[tuple] = []  # id, length, term numbers, counts
+        self.numbers: dict[bytes, int] = {}
+        self.occurrences = 0
+
+    def add(self, ident: int | None, found: list[bytes]) -> bool:
+        """Take a document; tells whether the shard is full."""
+        counted, numbers = Counter(found), self.numbers
+        term = np.fromiter((numbers.setdefault(t, len(numbers)) for t in counted), np.int32, len(counted))
+        count = np.fromiter(counted.values(), np.int32, len(counted))
+        self.docs.append((ident, len(found), term, count))
+        self.occurrences += len(found)
+        return len(self.docs) == SHARD_DOCS or self.occurrences >= SHARD_TERMS
+
+    def written(self, block: int) -> pa.RecordBatch:
+        """Posting lists: terms ascending by hash, documents by their ids, those without one last."""
+        docs = sorted(self.docs, key=lambda d: (d[0] is None, d[0] or 0))
+        held = np.fromiter(map(term_id, self.numbers), np.int64, len(self.numbers))
+        by = np.argsort(held)
+        place = np.empty(len(held), np.int32)
+        place[by] = np.arange(len(held))
+        term = place[np.concatenate([d[2] for d in docs])]
+        at = np.repeat(np.arange(len(docs), dtype="<i2"), [len(d[2]) for d in docs])
+        order = np.argsort(term, kind="stable")
+        row = {
+            "block": block,
+            "docs": sum(d[1] > 0 for d in docs),
+            "occurrences": self.occurrences,
+            "held": held[by],
+            "posted": np.bincount(term, minlength=len(held)),
+            # Documents without an id count, but are never found.
+            "ids": np.array([d[0] or 0 for d in docs], np.int64).tobytes(),
+            "named": bytes(d[0] is not None for d in docs),
+            "lengths": np.array([d[1] for d in docs], np.int64).tobytes(),
+            "at": at[order].tobytes(),
+            "counts": np.concatenate([d[3] for d in docs])[order].astype("<i4").tobytes(),
+        }
+        return pa.RecordBatch.from_pylist([row], schema=_INDEX)
 
 
 def _indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    numbers, docs, lengths = block_ids(), [], 0
+    numbers, shard = block_ids(), _Growing()
     for batch in batches_of(batches):
         for ident, text in zip(batch.column("id").to_pylist(), batch.column("text"), strict=True):
-            found = terms(text.as_py() or b"")
-            docs.append((ident, len(found), Counter(found)))
-            lengths += len(found)
-            if len(docs) == SHARD_DOCS or lengths >= SHARD_TERMS:
-                yield _shard(next(numbers), docs, lengths)
-                docs, lengths = [], 0
-    if docs:
-        yield _shard(next(numbers), docs, lengths)
+            if shard.add(ident, terms(text.as_py() or b"")):
+                yield shard.written(next(numbers))
+                shard = _Growing()
+    if shard.docs:
+        yield shard.written(next(numbers))
 
 
 class Shard:
     """The lists of a shard for the terms ``wanted`` (ascending), with impacts and sparse tables."""
 
-    def __init__(self, row: dict, wanted: np.ndarray, weights: np.ndarray, n_docs: int, occurrences: int):
-        held, posted = np.asarray(row["held"], np.int64), np.asarray(row["posted"], np.int64)
+    def __init__(self, batch: pa.RecordBatch, wanted: np.ndarray, weights: np.ndarray, n_docs: int, occurrences: int):
+        held, posted = (batch.column(n)[0].values.to_numpy(zero_copy_only=False).astype(np.int64) for n in ("held", "posted"))
+        row = {n: batch.column(n)[0].as_py() for n in ("ids", "named", "lengths", "at", "counts")}
         self.size = len(row["lengths"]) // 8
         self.ids, self.named = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["named"], np.uint8) > 0
         measure = 50 + (50 * np.frombuffer(row["lengths"], np.int64) * n_docs) // max(occurrences, 1)
@@ -216,9 +229,9 @@ def _search(k: int, n_docs: int, occurrences: int, key, index: pa.Table, items:
     weighs = np.fromiter((weights[t] for t in wanted.tolist()), np.int64, len(wanted))
     own = [np.sort(np.array(r["terms"], np.int64)) for r in asked]
     for batch in index.to_batches(1) if asked else ():
-        for row in batch.to_pylist():
-            shard = Shard(row, wanted, weighs, n_docs, occurrences)
-            kept = [search_shard(shard, shard.terms_of(t), state, k) for t, state in zip(own, kept, strict=True)]
+        shard = Shard(batch, wanted, weighs, n_docs, occurrences)
+        kept = [search_shard(shard, shard.terms_of(t), state, k) for t, state in zip(own, kept, strict=True)]
+    pa.default_memory_pool().release_unused()
     sizes = [len(s) for s, _ in kept]
     return pa.table(
         {
