@@ -756,6 +756,10 @@ WITH {LIFE}
 SELECT unnest(['tokens', 'completions', 'migrations', 'pools']) AS dataset, count(*) AS n,
   count(DISTINCT signature) AS signatures FROM done"""
 
+ORACLE["stream_running_backlog"] = ORACLE["backlog"]
+ORACLE["stream_queue_watermark"] = ORACLE["backlog_watermark"]
+ORACLE["stream_collect_tokens"] = ORACLE["normalize_tokens"]
+
 # --- features, labels and splits
 
 _PRICES = """prices AS (

@@ -24,6 +24,7 @@ from ledgerloom.streaming.collect import Collector
 from ledgerloom.streaming.sources import stream_captures, stream_table
 from ledgerloom.streaming.stateful import (
     CheckpointState,
+    QueueState,
     arrival_windows,
     backlog_windows,
     stream_dedupe,
@@ -99,9 +100,8 @@ def quarantine_review(spark, sf_dir):
     return pit.quarantine_review(quarantine_of(_trade_decoded(spark, sf_dir)))
 
 
-@query
-def normalize_tokens(spark, sf_dir):
-    return normalize(_lifecycle_events(spark, sf_dir), "tokens").select(
+def _tokens(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "event_id", "mint", "creator", "user", "name", "symbol", "uri", "bonding_curve",
         "token_program", "quote_mint", "event_timestamp", "slot", "block_time", "signature",
         *_text("virtual_token_reserves", "virtual_sol_reserves", "virtual_quote_reserves",
@@ -110,6 +110,11 @@ def normalize_tokens(spark, sf_dir):
     )
 
 
+@query
+def normalize_tokens(spark, sf_dir):
+    return _tokens(normalize(_lifecycle_events(spark, sf_dir), "tokens"))
+
+
 @query
 def normalize_completions(spark, sf_dir):
     return normalize(_lifecycle_events(spark, sf_dir), "completions").drop("received_at")
@@ -1109,21 +1114,50 @@ def stream_dedupe_signatures(spark, sf_dir):
     return _stream_to_table(spark, once, "stream-dedupe", "append").select("signature")
 
 
+def _run_in_parts(spark: SparkSession, rows: DataFrame, order: str, name: str, start, parts: int = 4) -> None:
+    """Run a stream over a growing table: rows in ranges of ``order``, a new start after each.
+
+    Every start takes up the offsets and the state of the one before.
+    """
+    folder = scratch_path(spark, name)
+    end = rows.agg(F.max(order).alias("m")).first().m or 0
+    for part in range(parts):
+        low, high = (k * (end + 1) // parts for k in (part, part + 1))
+        rows.filter((F.col(order) >= low) & (F.col(order) < high)).write.mode("append").parquet(folder)
+        start(spark.readStream.schema(rows.schema).parquet(folder)).awaitTermination()
+
+
 @query
 def stream_program_checkpoints(spark, sf_dir):
-    """Checkpoints over first observations, one file of events per micro-batch."""
-    state = CheckpointState(scratch_path(spark, "stream-checkpoints"))
-    rows = _event_stream(spark, sf_dir).withColumn("replay_order", F.col("event_id"))
-    running = (
-        rows.writeStream.option("checkpointLocation", scratch_path(spark, "checkpoint-offsets"))
-        .foreachBatch(state.process)
-        .trigger(availableNow=True)
-        .start()
+    """Checkpoints over first observations in four micro-batches with a restart before each."""
+    rows = views.obs(spark, sf_dir).withColumns(
+        {"received_at": F.timestamp_micros("arrival_us"), "replay_order": F.col("event_id")}
     )
-    running.awaitTermination()
+    state = CheckpointState(scratch_path(spark, "stream-checkpoints"))
+    _run_in_parts(spark, rows, "event_id", "checkpoint-rows", state.start)
     return state.latest(spark).select("program_id", "last_signature", "last_slot")
 
 
+def _queue(spark: SparkSession, sf_dir: str) -> QueueState:
+    """The queue of ``backlog``, run as a stream of four micro-batches."""
+    entered = F.col("event_type").isin("click", "view", "signup")
+    changes = views.table(spark, sf_dir, "events").select("event_id", F.when(entered, 1).otherwise(-1).alias("change"))
+    queue = QueueState(scratch_path(spark, "stream-queue"), "event_id")
+    _run_in_parts(spark, changes, "event_id", "queue-changes", queue.start)
+    return queue
+
+
+@query
+def stream_running_backlog(spark, sf_dir):
+    """Queue size after every change, carried over micro-batches."""
+    return _queue(spark, sf_dir).sized(spark).select("event_id", "backlog")
+
+
+@query
+def stream_queue_watermark(spark, sf_dir):
+    return _queue(spark, sf_dir).watermark(spark)
+
+
 @query
 def stream_arrivals(spark, sf_dir):
     """Arrival counters per hour window of a frame stream."""
@@ -1179,6 +1213,24 @@ def stream_collect(spark, sf_dir):
     return merged
 
 
+@query
+def stream_collect_tokens(spark, sf_dir):
+    """Live collection in four micro-batches; each repeats, with other content, what came before it."""
+    rows = _lifecycle_lines(spark, sf_dir)
+    late = F.regexp_replace("payload", '"slot":[0-9]+', '"slot":1')
+    parted = rows.withColumn("part", F.pmod(F.xxhash64("payload"), F.lit(3)))
+    again = parted.withColumns({"part": F.col("part") + 1, "payload": late, "received_at": F.timestamp_seconds(F.lit(0))})
+    subscribed = spark.createDataFrame([(1, views.CURVE)], "subscription_id bigint, program_id string")
+    live = Collector(scratch_path(spark, "live"), views.ledger_catalog(spark), subscribed, "derived")
+    frames_ = parted.unionByName(again).select("part", "received_at", F.col("payload").alias("value"))
+
+    def start(stream: DataFrame):
+        return live.start(stream.select("received_at", "value"))
+
+    _run_in_parts(spark, frames_, "part", "live-parts", start)
+    return _tokens(live.dataset(spark, "tokens"))
+
+
 def _lifecycle_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lifecycle transactions as captured log notifications."""
     rows = views.lifecycle_envelopes(spark, sf_dir)
