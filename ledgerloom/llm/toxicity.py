@@ -33,13 +33,14 @@ PART_BYTES = 64 << 10  # a dictionary trained at once; larger ones stop early
 ORDINARY_BYTES = 192 << 10  # size of the dictionary of ordinary text
 TOXIC_BYTES = 32 << 10  # size of the dictionary of toxic text
 TEXT_PER_BYTE = 20  # text for each byte of a dictionary; from less text a smaller one is trained
-LEAD_BYTES = 60
+LEAD_BYTES = 30
+USUAL_ROWS = 200  # calibration rows whose windows tell the usual distance
 RUN_WORDS, RUN_STRIDE = 8, 4  # words of a run, and from one run to the next: each word lies in two
 WORD_LEVEL, RUN_LEVEL = 19, 6
 STEPS = (1, 2, 3, 4, 5, 6, 7, 9)  # distances, in bytes, that windows are counted by
 LOSS = 4  # bytes lost by the toxic dictionary from which a window counts as ordinary
 THRESHOLD = 0.3  # score from which a document is predicted toxic
-CACHED_WINDOWS = 200_000  # distances of words a task keeps, for speed only
+CACHED_WINDOWS = 400_000  # distances of words a task keeps, for speed only
 CALL_WINDOWS = 20_000  # windows compressed in one call
 
 
@@ -95,7 +96,9 @@ class Distances:
         self.word_pair = [compressor(side, WORD_LEVEL) for side in sides]
         self.run_pair = [compressor(side, RUN_LEVEL) for side in sides]
         self.lead = model.lead
+        # Words met lately, and those of the time before: frequent words pass from one to the other.
         self.known: dict[bytes, int] = {}
+        self.before: dict[bytes, int] = {}
 
     @staticmethod
     def _saved(pair: list, windows: Iterable[bytes]) -> list[int]:
@@ -106,19 +109,22 @@ class Distances:
             out += [len(a[i]) - len(b[i]) for i in range(len(part))]
         return out
 
-    def learn(self, found: set[bytes]) -> None:
-        """Compress the words not met before."""
-        if len(self.known) > CACHED_WINDOWS:
-            self.known.clear()
-        new = list(found.difference(self.known))
+    def learn(self, found: set[bytes]) -> dict[bytes, int]:
+        """A mapping that holds at least the words ``found``; those not met before are compressed."""
+        if len(self.known) > CACHED_WINDOWS // 2:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = found.difference(known)
+        known.update([(word, before[word]) for word in new.intersection(before)])
+        new = list(new.difference(before))
         saved = self._saved(self.word_pair, (b"%b %b " % (self.lead, word) for word in new))
-        self.known.update(zip(new, saved, strict=True))
+        known.update(zip(new, saved, strict=True))
+        return known
 
     def of(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Distances of the words, and of the runs, of each text."""
         found = [words(t) for t in texts]
-        self.learn(set().union(*found))
-        known, sizes = self.known, []
+        known, sizes = self.learn(set().union(*found)), []
 
         def windows() -> Iterator[bytes]:
             for x in found:
@@ -220,7 +226,9 @@ def fit(
         docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"))
         .where(F.octet_length("text") <= SAMPLE_BYTES)
         .join(F.broadcast(sample), "id")
-        .select("id", "toxic", "draw", F.col("text").cast("binary").alias("text"))
+        # An id that repeats is learned from once, by the first of its texts.
+        .groupBy("id", "toxic", "draw")
+        .agg(F.min("text").cast("binary").alias("text"))
     )
     texts = sorted((r["draw"], r["id"], r["toxic"], bytes(r["text"])) for r in rows.collect())
     halves = {t: [x for x in texts if x[2] == t] for t in (True, False)}
@@ -233,7 +241,7 @@ def fit(
         b" ".join(learned[False][0].split())[:LEAD_BYTES],
     )
     checked = [x for half in halves.values() for x in half[1::2]]
-    kinds = zip(*Distances(model).of([x[3] for x in checked[-200:]]), strict=True)
+    kinds = zip(*Distances(model).of([x[3] for x in checked[-USUAL_ROWS:]]), strict=True)
     model.usual = tuple(float(np.median(d)) if len(d) else 0.0 for d in map(np.concatenate, kinds))
     calibration = spark.createDataFrame([(x[2], x[3]) for x in checked], "toxic boolean, text binary")
 
