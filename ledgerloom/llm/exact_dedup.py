@@ -11,7 +11,7 @@ with the number of copies; copies are counted before anything is shuffled.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +31,17 @@ INDEX = T.StructType(
         T.StructField("counts", T.ArrayType(T.LongType())),
     ]
 )
+_INDEX = pa.schema(
+    [
+        ("shard", pa.int64()),
+        ("levels", pa.list_(pa.binary())),
+        ("digests", pa.binary()),
+        *[(n, pa.list_(pa.int64())) for n in ("lengths", "ids", "counts")],
+    ]
+)
+_MERGED = pa.schema(
+    [("digest", pa.binary()), ("length", pa.int64()), ("keep_id", pa.int64()), ("copies", pa.int64()), ("seen", pa.bool_())]
+)
 CLASSES = "shard long, digest binary, length long, keep_id long, copies long"
 
 
@@ -76,7 +87,7 @@ def _mix(keys: np.ndarray, level: int) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def _keys(found: pd.Series) -> np.ndarray:
+def _keys(found: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(found), dtype="<u8").reshape(-1, 4)
 
 
@@ -106,65 +117,57 @@ def _slots(levels: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
     return slots
 
 
-def _build(found: pd.DataFrame) -> pd.DataFrame:
-    keys = _keys(found["digest"])
+def _build(found: pa.Table) -> pa.Table:
+    digest = found.column("digest").to_pylist()
+    keys = _keys(digest)
     levels = _levels(keys)
-    ordered = found.iloc[np.argsort(_slots(levels, keys))]
-    return pd.DataFrame(
-        {
-            "shard": [found["shard"].iloc[0]],
-            "levels": [[np.packbits(x).tobytes() + len(x).to_bytes(8, "little") for x in levels]],
-            "digests": [b"".join(ordered["digest"])],
-            "lengths": [ordered["length"].tolist()],
-            "ids": [[None if pd.isna(x) else int(x) for x in ordered["keep_id"]]],
-            "counts": [ordered["copies"].tolist()],
-        }
-    )
+    order = np.argsort(_slots(levels, keys)).tolist()
+    length, keep, copies = (found.column(n).to_pylist() for n in ("length", "keep_id", "copies"))
+    row = {
+        "shard": found.column("shard")[0].as_py(),
+        "levels": [np.packbits(x).tobytes() + len(x).to_bytes(8, "little") for x in levels],
+        "digests": b"".join(digest[i] for i in order),
+        "lengths": [length[i] for i in order],
+        "ids": [keep[i] for i in order],
+        "counts": [copies[i] for i in order],
+    }
+    return pa.Table.from_pylist([row], schema=_INDEX)
 
 
 def build_index(seen: DataFrame) -> DataFrame:
     """Index of a table of ``classes``, one row per shard."""
-    return seen.groupBy("shard").applyInPandas(_build, INDEX)
+    return seen.groupBy("shard").applyInArrow(_build, INDEX)
 
 
 def _unpack(packed: bytes) -> np.ndarray:
     return np.unpackbits(np.frombuffer(packed[:-8], np.uint8))[: int.from_bytes(packed[-8:], "little")]
 
 
-def _better(length: int, keep, other_length: int, other) -> bool:
-    """Does the first copy go before the second?"""
-    if length != other_length:
-        return length > other_length
-    return not pd.isna(keep) and (pd.isna(other) or keep < other)
+def _place(length: int, keep: int | None) -> tuple:
+    """Copies in the order in which they stay: the longest, then the smallest id, then those without."""
+    return -length, keep is None, keep or 0
 
 
-def _lookup(index: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+def _lookup(index: pa.Table, found: pa.Table) -> pa.Table:
+    # Arrow keeps ids whole numbers, whatever is null beside them.
     out = {"digest": [], "length": [], "keep_id": [], "copies": [], "seen": []}
-    if len(index):
-        row = index.iloc[0]
+    slots = [-1] * found.num_rows
+    asked = {n: found.column(n).to_pylist() for n in ("digest", "length", "keep_id", "copies")}
+    if index.num_rows:
+        row = index.to_pylist()[0]
         held = [row["digests"][i : i + 32] for i in range(0, len(row["digests"]), 32)]
-        out = {
-            "digest": held,
-            "length": [int(x) for x in row["lengths"]],
-            "keep_id": [None if pd.isna(x) else int(x) for x in row["ids"]],
-            "copies": [int(x) for x in row["counts"]],
-            "seen": [True] * len(held),
-        }
-        levels = [_unpack(x) for x in row["levels"]]
-    members = len(out["digest"])
-    slots = _slots(levels, _keys(found["digest"])) if members and len(found) else [-1] * len(found)
-    for slot, digest, length, keep, copies in zip(
-        slots, found["digest"], found["length"], found["keep_id"], found["copies"], strict=True
-    ):
-        if slot >= 0 and out["digest"][slot] == bytes(digest):
-            out["copies"][slot] += int(copies)
-            if _better(length, keep, out["length"][slot], out["keep_id"][slot]):
-                out["length"][slot], out["keep_id"][slot] = int(length), int(keep)
+        out = {"digest": held, "length": row["lengths"], "keep_id": row["ids"], "copies": row["counts"], "seen": [True] * len(held)}
+        if found.num_rows and held:
+            slots = _slots([_unpack(x) for x in row["levels"]], _keys(asked["digest"]))
+    for slot, digest, length, keep, copies in zip(slots, *asked.values(), strict=True):
+        if slot >= 0 and out["digest"][slot] == digest:
+            out["copies"][slot] += copies
+            if _place(length, keep) < _place(out["length"][slot], out["keep_id"][slot]):
+                out["length"][slot], out["keep_id"][slot] = length, keep
         else:
-            row = (bytes(digest), int(length), None if pd.isna(keep) else int(keep), int(copies), False)
-            for name, value in zip(out, row, strict=True):
+            for name, value in zip(out, (digest, length, keep, copies, False), strict=True):
                 out[name].append(value)
-    return pd.DataFrame(out).astype({"keep_id": "Int64", "length": "int64", "copies": "int64", "seen": "bool"})
+    return pa.table([pa.array(out[f.name], f.type) for f in _MERGED], schema=_MERGED)
 
 
 def merge(index: DataFrame, arrived: DataFrame) -> DataFrame:
@@ -172,7 +175,7 @@ def merge(index: DataFrame, arrived: DataFrame) -> DataFrame:
     return (
         index.groupBy("shard")
         .cogroup(arrived.groupBy("shard"))
-        .applyInPandas(_lookup, "digest binary, length long, keep_id long, copies long, seen boolean")
+        .applyInArrow(_lookup, "digest binary, length long, keep_id long, copies long, seen boolean")
     )
 
 

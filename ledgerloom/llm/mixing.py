@@ -55,12 +55,18 @@ def _divide(nodes: DataFrame, parent: Sequence[str]) -> DataFrame:
 
 
 def budgets(
-    leaves: DataFrame, path: Sequence[str], weights: Mapping[tuple, float], budget: float, max_epochs: int
+    leaves: DataFrame,
+    path: Sequence[str],
+    weights: Mapping[tuple, float],
+    budget: float,
+    max_epochs: int,
+    others: Mapping[int, float] | None = None,
 ) -> DataFrame:
     """The leaves (path, tokens) with their ``share`` of ``budget`` tokens.
 
     ``weights`` maps paths, and beginnings of paths, to weights among siblings; what is not named
-    weighs 1. Names are compared as text; a null name is a name of its own.
+    weighs what ``others`` says for its depth (from 1), else 1. Names are compared as text; a null
+    name is a name of its own.
     """
     spark = leaves.sparkSession
     given = spark.createDataFrame(
@@ -75,7 +81,7 @@ def budgets(
     for depth in range(1, len(path) + 1):
         nodes = named.groupBy(name(depth).alias("name"), name(depth - 1).alias("parent") if depth > 1 else F.lit("").alias("parent"))
         nodes = nodes.agg(F.sum("capacity").alias("capacity"))
-        nodes = nodes.join(given, "name", "left").withColumn("weight", F.coalesce("given", F.lit(1.0))).drop("given")
+        nodes = nodes.join(given, "name", "left").withColumn("weight", F.coalesce("given", F.lit(float((others or {}).get(depth, 1.0))))).drop("given")
         if shares is None:
             nodes = nodes.withColumn("budget", F.lit(float(budget)))
         else:
@@ -93,7 +99,8 @@ def cutoffs(rows: DataFrame, leaves: DataFrame, seed: int) -> DataFrame:
     that reaches it is the last. Rows with equal ids are drawn together.
     """
     empty = F.col("tokens") <= 0
-    whole_epochs = F.when(empty, 0).otherwise(F.floor(F.col("target") / F.col("tokens"))).cast("int")
+    # A leaf without any token costs nothing: each of its rows is given once.
+    whole_epochs = F.when(empty, 1).otherwise(F.floor(F.col("target") / F.col("tokens"))).cast("int")
     plan = leaves.withColumn("epochs", whole_epochs).withColumn(
         "rest", F.when(empty, 0).otherwise(F.col("target") - F.col("epochs") * F.col("tokens"))
     )
@@ -132,12 +139,13 @@ def mix(
     max_epochs: int = 1,
     seed: int = 0,
     id_col: str = "doc_id",
+    others: Mapping[int, float] | None = None,
 ) -> DataFrame:
     """All columns of ``docs`` and ``epoch``, one row for each time that a row is given.
 
     ``path`` names the levels of the tree and how a row gets its name there, null being a name;
     ``budget_share`` is the budget as a share of all tokens. Rows without tokens are given as their
-    draws come up. Rows of equal id are drawn together; an empty table gives an empty result. A
+    draws come up, and once each in a leaf that has no token at all. Rows of equal id are drawn together; an empty table gives an empty result. A
     column named ``epoch`` is replaced.
     """
     kept = [c for c in docs.columns if c != "epoch"]
@@ -152,7 +160,7 @@ def mix(
         rows.groupBy(*renamed).agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens")), "leaves"
     )
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
-    shares = budgets(leaves, renamed, weights, total * budget_share, max_epochs)
+    shares = budgets(leaves, renamed, weights, total * budget_share, max_epochs, others)
     cut = cutoffs(rows.select("id", "name", "tokens"), materialize(shares, "budgets"), seed)
     paired = docs.select(F.struct(*kept).alias("row"), name.alias("name"))
     paired = paired.join(broadcast_within(cut, cut.count()), "name")

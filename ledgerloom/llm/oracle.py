@@ -181,7 +181,7 @@ ORACLE = {
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS so_far
           FROM tries)
         SELECT doc_id, lang, source, epoch FROM drawn
-        WHERE epoch < target // all_tokens
+        WHERE all_tokens = 0 AND epoch = 0 OR epoch < target // all_tokens
            OR epoch = target // all_tokens AND so_far < target - epoch * all_tokens
     """,
     "op8_line_dedup": f"""

@@ -17,7 +17,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +26,17 @@ from ledgerloom.llm.common import batches_of, returned, whole
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 8 << 20  # UTF-8 bytes of text that a shard is meant to hold
-CACHED_WORDS = 60_000  # words whose ids a task keeps, for speed only
+CACHED_WORDS = 400_000  # words whose ids a task keeps, for speed only: about 0.1 GB
+PARTITIONS = 100_000  # most partitions that shards are dealt to
+# Text that tells whether a vocabulary takes words one by one, as ``WordIds`` does.
+PROBE = "It's AND don't,  we'll.\nx.y \u00c9t\u00e9 na\u00efve, STRASSE. 12.5 a\tB, (c) word Word"
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 )
+_PIECES = pa.schema(
+    [(n, pa.binary() if n == "ids" else pa.int64()) for n in ("doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")]
+)
 
 
 class WordIds:
@@ -39,10 +44,11 @@ class WordIds:
 
     A word of Latin letters is one input of the vocabulary's merges as it stands, in lower case and
     in the byte alphabet, and a full stop or comma after it is another; the model is asked for these
-    directly. Every other word goes through the whole tokenizer.
+    directly. Every other word goes through the whole tokenizer. ``by_word`` tells whether all this
+    holds for the vocabulary, by a probe; if not, only whole texts may be tokenized.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -51,20 +57,24 @@ class WordIds:
         alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         latin = [chr(c) for c in range(256)]
         self.bytes = {ord(c): alphabet.pre_tokenize_str(c)[0][0] for c in latin if c.isalpha()}
-        self.marks = {m: self._whole([m])[0] for m in ".,"}
+        self.marks = {m: self.whole([m])[0] for m in ".,"}
         self.known: dict[bytes, bytes] = {}
         self.letters: dict[str, bytes] = {}
+        self.most = most
+        probe = PROBE.encode().split()
+        known = self.learn(set(probe))
+        self.by_word = b"".join([known[w] for w in probe]) == self.whole([PROBE])[0]
 
-    def _whole(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """A mapping that holds at least ``words``."""
         known, letters, marks, tokenize = self.known, self.letters, self.marks, self.model.tokenize
-        if len(known) + len(words) > CACHED_WORDS:
+        if len(known) + len(words) > self.most:
             known.clear()
-        if len(letters) + len(words) > CACHED_WORDS:
+        if len(letters) + len(words) > self.most:
             letters.clear()
         others = []
         for word in words.difference(known):
@@ -81,24 +91,28 @@ class WordIds:
             else:
                 others.append((word, text))
         if others:
-            found = self._whole([text for _, text in others])
+            found = self.whole([text for _, text in others])
             known.update((w, ids) for (w, _), ids in zip(others, found, strict=True))
         return known
 
 
-def _tokenize(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _tokenize(path: str, end_id: int, most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Ids of each text, as little-endian 32-bit integers, ended by ``end_id``.
 
-    The vocabulary drops white space and no step of it looks across ASCII white space, so that the
-    ids of a text are those of its words, one after the other.
+    Where the vocabulary drops white space and no step of it looks across ASCII white space, the ids
+    of a text are those of its words, one after the other.
     """
-    ids_of, end = WordIds(path), array("I", [end_id]).tobytes()
+    ids_of, end = WordIds(path, most), array("I", [end_id]).tobytes()
     for batch in batches_of(batches):
         for first in range(0, batch.num_rows, 256):
             part = batch.slice(first, 256)
-            texts = [x.split() for x in part.column("text").to_pylist()]
-            known = ids_of.learn(set().union(*texts))
-            ids = [b"".join([known[w] for w in words]) + end for words in texts]
+            if ids_of.by_word:
+                texts = [x.split() for x in part.column("text").to_pylist()]
+                known = ids_of.learn(set().union(*texts))
+                ids = [b"".join([known[w] for w in words]) + end for words in texts]
+            else:
+                texts = [x.decode(errors="replace") for x in part.column("text").to_pylist()]
+                ids = [found + end for found in ids_of.whole(texts)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("shard"), part.column("doc_id"), pa.array(ids, pa.binary())],
                 ["shard", "doc_id", "ids"],
@@ -106,9 +120,17 @@ def _tokenize(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iter
 
 
 def tokenized(
-    docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = END_ID
+    docs: DataFrame,
+    vocabulary: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    end_id: int = END_ID,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
-    """shard, doc_id and ids of every row; a null text counts as empty and has only the end id."""
+    """shard, doc_id and ids of every row; a null text counts as empty and has only the end id.
+
+    Rows are dealt by shard, to a partition for each.
+    """
     text = whole(F.col(text_col))
     size = docs.agg(F.sum(F.octet_length(text) + 16)).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
@@ -117,7 +139,10 @@ def tokenized(
         F.col(id_col).cast("long").alias("doc_id"),
         text.cast("binary").alias("text"),
     )
-    return rows.mapInArrow(lambda it: returned(_tokenize(vocabulary, end_id, it)), "shard long, doc_id long, ids binary")
+    ids = rows.mapInArrow(
+        lambda it: returned(_tokenize(vocabulary, end_id, cached_words, it)), "shard long, doc_id long, ids binary"
+    )
+    return ids.repartition(min(shards, PARTITIONS), "shard")
 
 
 def fill(counts: np.ndarray, target: int) -> dict[int, int]:
@@ -198,22 +223,23 @@ def plan(lengths: list[int], window: int) -> Iterator[list[tuple[int, int, int]]
         total -= size
 
 
-def _pack(window: int, rows: pd.DataFrame) -> pd.DataFrame:
+def _pack(window: int, rows: pa.Table) -> pa.Table:
+    # In Arrow an id is never a double, however large and whatever is null beside it.
     ordered = sorted(
-        zip(rows["doc_id"].astype("Int64"), rows["ids"], strict=True),
-        key=lambda r: (pd.isna(r[0]), 0 if pd.isna(r[0]) else r[0], r[1]),
+        zip(rows.column("doc_id").to_pylist(), rows.column("ids").to_pylist(), strict=True),
+        key=lambda r: (r[0] is None, r[0] or 0, r[1]),
     )
-    base = int(rows["shard"].iloc[0]) << 32
-    out = []
+    base = rows.column("shard")[0].as_py() << 32
+    out: list[list] = [[] for _ in _PIECES]
     for number, pieces in enumerate(plan([len(ids) // 4 for _, ids in ordered], window)):
         offset = 0
         for doc, start, length in pieces:
             doc_id, ids = ordered[doc]
-            part = bytes(ids[4 * start : 4 * (start + length)])
-            out.append((doc_id, start, length, part, len(ids) // 4, base + number, offset))
+            part = ids[4 * start : 4 * (start + length)]
+            for column, value in zip(out, (doc_id, start, length, part, len(ids) // 4, base + number, offset), strict=True):
+                column.append(value)
             offset += length
-    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-    return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
+    return pa.table([pa.array(x, f.type) for x, f in zip(out, _PIECES, strict=True)], schema=_PIECES)
 
 
 def pack(
@@ -223,13 +249,14 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = END_ID,
+    cached_words: int = CACHED_WORDS,
 ) -> DataFrame:
     """One row per piece: where it comes from, its ids, and its place in which sequence.
 
     Every id of every row of ``docs`` lies in one piece; ``ids`` holds them as little-endian
     32-bit integers. Repeated rows are packed as often as they occur, rows without an id too. Null
     and empty texts hold the end id alone. An empty table gives an empty result. Other columns are
-    not read.
+    not read. ``cached_words`` weighs memory against time and changes nothing else.
     """
-    rows = tokenized(docs, vocabulary, id_col, text_col, end_id)
-    return rows.groupBy("shard").applyInPandas(lambda part: _pack(window, part), PIECES)
+    rows = tokenized(docs, vocabulary, id_col, text_col, end_id, cached_words)
+    return rows.groupBy("shard").applyInArrow(lambda part: _pack(window, part), PIECES)

@@ -24,6 +24,7 @@ from ledgerloom.llm.vector_topk import vector_topk
 # one language weigh the same.
 DOMAINS = {0: 0.6, 1: 0.3, 2: 0.1}
 LANGUAGES = {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}
+OTHERS = {2: 0.15}  # a language of any other name
 WEIGHTS = {(d,): w for d, w in DOMAINS.items()} | {(d, k): w for d in DOMAINS for k, w in LANGUAGES.items()}
 
 
@@ -98,7 +99,7 @@ def op5_revisit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents for a budget of 0.6 of all words, small sources in up to two epochs."""
     docs = table(spark, sf_dir, "documents")
-    mixed = mix(docs, tree(), WEIGHTS, word_count(F.col("text")), budget_share=0.6, max_epochs=2, seed=17)
+    mixed = mix(docs, tree(), WEIGHTS, word_count(F.col("text")), budget_share=0.6, max_epochs=2, seed=17, others=OTHERS)
     return mixed.select("doc_id", "lang", "source", "epoch")
 
 

@@ -59,3 +59,17 @@ def test_odd_rows(spark):
     assert all(r.epoch == 0 and r.cid == "x" for r in got)
     empty = frame(spark, [])
     assert mix(empty, path(), {}, word_count(F.col("text"))).count() == 0
+
+
+def test_a_leaf_without_tokens_is_given_once(spark):
+    rows = [(1, ""), (2, None, "xx", "s9"), (3, " \n", "xx", "s9"), (4, "a b c", "xx", "s8"), (5, "a b", "de", "s1")]
+    got = mix(frame(spark, rows), path(), {}, word_count(F.col("text")), budget_share=1.0, max_epochs=2).collect()
+    assert {(r.doc_id, r.epoch) for r in got} >= {(1, 0), (2, 0), (3, 0)}
+    assert all(r.epoch == 0 for r in got if r.doc_id < 4)
+
+
+def test_unnamed_nodes_weigh_what_others_says(spark):
+    leaves = {("a", "x", "1"): 1000, ("a", "y", "1"): 1000}
+    rows = spark.createDataFrame([(*k, 10, n) for k, n in leaves.items()], "d string, l string, s string, rows long, tokens long")
+    got = budgets(rows, ["d", "l", "s"], {("a", "x"): 0.75}, 400, 1, {2: 0.25}).collect()
+    assert {r.l: r.target for r in got} == {"x": 300, "y": 100}

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.packing import fill, pack, plan
+from ledgerloom.llm.packing import WordIds, fill, pack, plan
 from tests.llm.rows import frame, odd, prose
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
@@ -73,3 +73,21 @@ def test_same_sequences_however_rows_come(spark):
 
 def test_empty_table(spark):
     assert pack(frame(spark, []), public_tokenizers.path("word_bpe_49k.json")).count() == 0
+
+
+def test_ids_stay_whole_numbers_beside_null(spark):
+    rows = [(2**53 + 1, "a b"), (None, "c"), (2**60 + 1, None)]
+    got = pack(frame(spark, rows), public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert {r.doc_id for r in got} == {2**53 + 1, None, 2**60 + 1}
+
+
+def test_a_vocabulary_that_keeps_white_space_takes_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = [(1, "Hello  world,\nit's A test."), (2, "  x y"), (3, None)]
+    tokenizer = Tokenizer.from_file(path)
+    for r in pack(frame(spark, rows), path).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "ids"))).alias("p")).collect():
+        want = [*tokenizer.encode(dict(rows)[r.doc_id] or "", add_special_tokens=False).ids, 1]
+        assert np.frombuffer(b"".join(bytes(x.ids) for x in r.p), "<u4").tolist() == want
+    assert WordIds(public_tokenizers.path("word_bpe_49k.json"), 10).by_word and not WordIds(path, 10).by_word
