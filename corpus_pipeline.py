@@ -16,7 +16,7 @@ from ledgerloom.llm.line_dedup import line_dedup
 from ledgerloom.llm.mixing import mix, word_count
 from ledgerloom.llm.ngram_join import near_dedup
 from ledgerloom.llm.packing import pack
-from ledgerloom.llm.queries import WEIGHTS, tree, vocabulary
+from ledgerloom.llm.queries import OTHERS, WEIGHTS, tree, vocabulary
 from ledgerloom.llm.toxicity import fit, toxicity
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -51,13 +51,15 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Sources with fewer words than their share come up to twice.
     """
-    mixed = mix(docs, tree(), WEIGHTS, word_count(F.col("text")), budget_share=1.0, max_epochs=2, seed=17)
+    words = word_count(F.col("text"))
+    mixed = mix(docs, tree(), WEIGHTS, words, budget_share=1.0, max_epochs=2, seed=17, others=OTHERS)
     return mixed.select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 2048 tokens."""
-    return pack(docs, vocabulary("word_bpe_49k.json"))
+    # Workers still hold what earlier stages took: fewer words are remembered than by default.
+    return pack(docs, vocabulary("word_bpe_49k.json"), cached_words=60_000)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
