@@ -471,6 +471,17 @@ SELECT program_id, arg_max(signature, event_id) AS last_signature, max(slot) AS
   count(*) AS recovered
 FROM missing GROUP BY program_id"""
 
+ORACLE["recovery_job"] = f"""
+WITH {_MARK}, gap AS (SELECT * FROM newer WHERE program_id = '{views.POOL}'),
+missing AS (SELECT * FROM gap WHERE err IS NULL AND event_id % 7 = 0),
+moved AS (
+  SELECT program_id, arg_max(signature, (slot, event_id)) AS last_signature, max(slot) AS last_slot,
+    count(*) AS archived, count(*) AS observed FROM missing GROUP BY program_id
+  UNION ALL
+  SELECT program_id, arg_max(signature, event_id), arg_max(slot, event_id), NULL, NULL
+  FROM listing WHERE program_id = '{views.CURVE}' GROUP BY program_id)
+SELECT moved.*, (SELECT count(err) FROM gap) AS failed_skipped FROM moved"""
+
 ORACLE["merge_recovered"] = f"""
 WITH {OBS}, ranked AS (
   SELECT 0 AS path, * FROM obs WHERE kind = 1

@@ -15,7 +15,7 @@ from ledgerloom.operators.normalize import normalize, normalize_errors, route
 from ledgerloom.operators.sinks import append_raw, write_captures, write_dataset
 from ledgerloom.plans import views
 from ledgerloom.plans.rebuild import derive, write_version
-from ledgerloom.plans.recover import recover
+from ledgerloom.plans.recover import Recovery, State, recover
 from ledgerloom.schemas import RAW_LOG, TYPED_DATASETS
 from ledgerloom.session import scratch_path, spread
 from ledgerloom.sources import catalog as catalogs
@@ -651,6 +651,35 @@ def recover_gap(spark, sf_dir):
     )
 
 
+def _fetched(listing: DataFrame) -> DataFrame:
+    body = F.concat(
+        F.lit('{"slot":'), F.col("slot").cast("string"), F.lit(',"meta":{"err":null,"logMessages":[]}}')
+    )
+    return listing.select("signature", F.timestamp_seconds(F.lit(0)).alias("received_at"), body.alias("result"))
+
+
+@query
+def recovery_job(spark, sf_dir):
+    """The state a recovery has written: checkpoints, and what was archived and observed of each program.
+
+    One program has a checkpoint and a gap, the other has none and starts at its newest signature.
+    """
+    listing, empty = views.listing(spark, sf_dir), State.empty(spark)
+    marks = _marks(spark, sf_dir).filter(F.col("program_id") == views.POOL)
+    known = _observed(spark, sf_dir).filter("signature LIKE '%4'").select("signature")
+    job = Recovery(scratch_path(spark, "recovery"), views.ledger_catalog(spark), "p", _NO_CAP)
+    moved = job.run(listing, _fetched(listing), State(marks, _observed(spark, sf_dir), known, empty.counters))
+    raw = raws.read_transactions(spark, job.path("raw"), "parts").groupBy(F.col("source_program").alias("program_id"))
+    seen = job.table(spark, "observations").groupBy("program_id").agg(F.count("*").alias("observed"))
+    failed = job.table(spark, "counters").filter("key LIKE 'reconcile%'").agg(F.coalesce(F.max("value"), F.lit(0)).alias("failed_skipped"))
+    return (
+        moved.select("program_id", "last_signature", "last_slot")
+        .join(raw.agg(F.count("*").alias("archived")), "program_id", "left")
+        .join(seen, "program_id", "left")
+        .join(F.broadcast(failed))
+    )
+
+
 @query
 def merge_recovered(spark, sf_dir):
     """Recovered rows first, then live overlap, one copy per signature."""
