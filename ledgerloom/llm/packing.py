@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from ledgerloom.llm.common import batches_of, returned, whole
 WINDOW = 2048
 END_ID = 1
 SHARD_BYTES = 8 << 20  # UTF-8 bytes of text that a shard is meant to hold
-CACHED_WORDS = 400_000  # words whose ids a task keeps, for speed only: about 0.1 GB
+CACHED_WORDS = 600_000  # words whose ids a task keeps, for speed only: about 0.2 GB
 PARTITIONS = 100_000  # most partitions that shards are dealt to
 # Text that tells whether a vocabulary takes words one by one, as ``WordIds`` does.
 PROBE = "It's AND don't,  we'll.\nx.y \u00c9t\u00e9 na\u00efve, STRASSE. 12.5 a\tB, (c) word Word"
@@ -39,6 +40,15 @@ _PIECES = pa.schema(
 )
 
 
+@cache
+def _tokenizer(path: str):
+    """A vocabulary, read once by each worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class WordIds:
     """Ids of words, as bytes, with a bounded memory of those met before.
 
@@ -49,10 +59,9 @@ class WordIds:
     """
 
     def __init__(self, path: str, most: int):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizer(path)
         self.model = self.tokenizer.model
         alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         latin = [chr(c) for c in range(256)]

@@ -36,7 +36,7 @@ TEXT_PER_BYTE = 20  # text for each byte of a dictionary; from less text a small
 LEAD_BYTES = 30
 USUAL_ROWS = 200  # calibration rows whose windows tell the usual distance
 RUN_WORDS, RUN_STRIDE = 8, 4  # words of a run, and from one run to the next: each word lies in two
-WORD_LEVEL, RUN_LEVEL = 19, 6
+WORD_LEVEL, RUN_LEVEL = 16, 4
 STEPS = (1, 2, 3, 4, 5, 6, 7, 9)  # distances, in bytes, that windows are counted by
 LOSS = 4  # bytes lost by the toxic dictionary from which a window counts as ordinary
 THRESHOLD = 0.3  # score from which a document is predicted toxic
