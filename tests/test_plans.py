@@ -5,9 +5,10 @@ import re
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import dedupe
-from ledgerloom.operators.decode import decode, events_of
-from ledgerloom.operators.normalize import normalize
+from ledgerloom.operators.decode import decode, decoded_rows, events_of
+from ledgerloom.operators.normalize import ROUTES, normalize, normalize_errors, with_typed_rows
 from ledgerloom.sources.raw import read_envelopes, read_logs
+from ledgerloom.schemas import DERIVED
 from tests.helpers import PUMP, logs_of, notification, payload, transaction, write_archive
 
 
@@ -54,3 +55,32 @@ def test_a_hot_signature_is_combined_before_the_shuffle(spark):
     seen = dedupe.observations(rows)
     assert "partial_min_by" in _plan(seen) and "Window" not in _plan(seen)
     assert dedupe.checkpoints(seen).first().last_signature == str(n - 1)
+
+
+def test_typed_rows_come_from_one_pass_over_the_decoded_ones(spark, tmp_path, catalog):
+    root = write_archive(tmp_path / "raw", [
+        transaction("a", logs_of(PUMP, payload("pump", "TradeEvent"))), notification("b", logs_of(PUMP, payload("pump", "TradeEvent")))])
+    rows = decoded_rows(decode(dedupe.dedupe_transactions(read_envelopes(spark, root)), catalog))
+    rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    broken = stored.withColumns({
+        "payload_json": F.regexp_replace("payload_json", '"mint":"[^"]*"', '"mint":null'),
+        "event_id": F.concat("event_id", F.lit("x")),
+    })
+    both = stored.unionByName(broken)
+    one = with_typed_rows(stored)
+    plan = _plan(one)
+    assert plan.count("FileScan") == 1 and plan.count("from_json") == 1 and "Exchange" not in plan
+
+    whole, events = with_typed_rows(both), both.filter("dataset = 'events'")
+
+    def rows_of(df):
+        return sorted(map(str, df.collect()))
+
+    for dataset in ROUTES:
+        got = whole.filter(F.col("dataset") == dataset).select(*DERIVED[dataset].fieldNames())
+        assert rows_of(got) == rows_of(normalize(events, dataset))
+    names = DERIVED["unknown_program_data"].fieldNames()
+    wrong = whole.filter("dataset = 'unknown_program_data' AND reason LIKE 'normalize-error%'").select(*names)
+    assert rows_of(wrong) == rows_of(normalize_errors(events).select(*names)) and wrong.count() == 2
+    assert rows_of(whole.filter("dataset = 'events'").select("event_id")) == rows_of(events.select("event_id"))
