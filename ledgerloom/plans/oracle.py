@@ -769,6 +769,7 @@ SELECT unnest(['tokens', 'completions', 'migrations', 'pools']) AS dataset, coun
 
 ORACLE["stream_running_backlog"] = ORACLE["backlog"]
 ORACLE["stream_queue_watermark"] = ORACLE["backlog_watermark"]
+ORACLE["rebuild_archive"] = ORACLE["normalize_tokens"]
 ORACLE["stream_collect_tokens"] = ORACLE["normalize_tokens"]
 
 # --- features, labels and splits

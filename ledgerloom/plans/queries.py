@@ -14,12 +14,13 @@ from ledgerloom.operators.decode import decode, decode_fixed, encode_keys, event
 from ledgerloom.operators.normalize import normalize, normalize_errors, route
 from ledgerloom.operators.sinks import append_raw, write_captures, write_dataset
 from ledgerloom.plans import views
-from ledgerloom.plans.rebuild import derive, write_version
+from ledgerloom.plans.rebuild import derive, rebuild, write_version
 from ledgerloom.plans.recover import Recovery, State, recover
 from ledgerloom.schemas import RAW_LOG, TYPED_DATASETS
 from ledgerloom.session import scratch_path, spread
 from ledgerloom.sources import catalog as catalogs
 from ledgerloom.sources import raw as raws
+from ledgerloom.sources.derived import current_version, read_dataset
 from ledgerloom.streaming.collect import Collector
 from ledgerloom.streaming.sources import stream_captures, stream_table
 from ledgerloom.streaming.stateful import (
@@ -181,6 +182,21 @@ def rebuild_datasets(spark, sf_dir):
     return metrics.dataset_counts(spark, version)
 
 
+@query
+def rebuild_archive(spark, sf_dir):
+    """An appended RAW archive of lifecycle logs rebuilt twice; readers follow the last publication."""
+    subscribed = spark.createDataFrame([(1, views.CURVE)], "subscription_id bigint, program_id string")
+    captured = _lifecycle_lines(spark, sf_dir).select("received_at", F.col("payload").alias("value"))
+    rows = frames.logs_of_notifications(frames.classify_frames(captured), subscribed, "derived")
+    raw, out = scratch_path(spark, "raw"), scratch_path(spark, "rebuilt")
+    append_raw(rows, raw, "logs")
+    late = {"logs": F.array().cast("array<string>"), "received_at": F.col("received_at") + F.expr("INTERVAL 1 SECOND")}
+    append_raw(rows.withColumns(late), raw, "logs")
+    for _ in range(2):
+        rebuild(spark, raw, out, views.ledger_catalog(spark), layout="parts")
+    return _tokens(read_dataset(spark, current_version(spark, out), "tokens"))
+
+
 @query
 def rebuild_summary(spark, sf_dir):
     first = dedupe.first_copies(views.obs(spark, sf_dir))
