@@ -40,7 +40,7 @@ WORD_LEVEL, RUN_LEVEL = 16, 4
 STEPS = (1, 2, 3, 4, 5, 6, 7, 9)  # distances, in bytes, that windows are counted by
 LOSS = 4  # bytes lost by the toxic dictionary from which a window counts as ordinary
 THRESHOLD = 0.3  # score from which a document is predicted toxic
-CACHED_WINDOWS = 400_000  # distances of words a task keeps, for speed only
+CACHED_WINDOWS = 1_000_000  # distances of words a worker keeps, for speed only: about 0.1 GB
 CALL_WINDOWS = 20_000  # windows compressed in one call
 
 
@@ -73,9 +73,9 @@ def runs(words: list[bytes]) -> list[bytes]:
 
 
 class Distances:
-    """Distances of all windows; equal words are compressed once."""
+    """Distances of all windows; words met lately are not compressed again."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, most: int = CACHED_WINDOWS):
         import zstandard
 
         def compressor(dictionary: bytes, level: int):
@@ -99,6 +99,7 @@ class Distances:
         # Words met lately, and those of the time before: frequent words pass from one to the other.
         self.known: dict[bytes, int] = {}
         self.before: dict[bytes, int] = {}
+        self.most = most
 
     @staticmethod
     def _saved(pair: list, windows: Iterable[bytes]) -> list[int]:
@@ -111,7 +112,7 @@ class Distances:
 
     def learn(self, found: set[bytes]) -> dict[bytes, int]:
         """A mapping that holds at least the words ``found``; those not met before are compressed."""
-        if len(self.known) > CACHED_WINDOWS // 2:
+        if len(self.known) > self.most // 2:
             self.known, self.before = {}, self.known
         known, before = self.known, self.before
         new = found.difference(known)
@@ -183,9 +184,21 @@ def _calibrate(model: Model, rows: np.ndarray, toxic: np.ndarray, rate: float, r
     model.weights = weights
 
 
-def _describe(model: Model, batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple]:
+_HELD: dict[tuple, Distances] = {}
+
+
+def _held(model: Model) -> Distances:
+    """The distances that this worker's tasks share: equal words of several tasks are compressed once."""
+    key = (hash(model.ordinary), hash(model.toxic), model.lead)
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = Distances(model)
+    return _HELD[key]
+
+
+def _describe(model: Model, batches: Iterator[pa.RecordBatch], text: str = "text", cached: int | None = None) -> Iterator[tuple]:
     """Each part of a batch with the features of its texts, a null one being empty."""
-    distances = Distances(model)
+    distances = _held(model) if cached is None else Distances(model, cached)
     for batch in batches_of(batches):
         for first in range(0, batch.num_rows, 512):
             part = batch.slice(first, 512)
@@ -258,11 +271,18 @@ def fit(
     return model
 
 
-def toxicity(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def toxicity(
+    docs: DataFrame,
+    model: Model | None,
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+    cached_windows: int | None = None,
+) -> DataFrame:
     """All columns of ``docs`` with ``score`` and ``predicted``, for every row.
 
     Null and empty texts have no windows and get the score of such a text. Without a model every
-    score is 0. Columns of ``docs`` named like the two new ones are replaced.
+    score is 0. Columns of ``docs`` named like the two new ones are replaced. ``cached_windows`` bounds
+    what each task remembers and gives back at its end; by default workers remember across tasks.
     """
     kept = [c for c in docs.columns if c not in ("score", "predicted")]
     if model is None:
@@ -271,7 +291,7 @@ def toxicity(docs: DataFrame, model: Model | None, text_col: str = "text", thres
     shape = docs.select(*kept).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _describe(model, batches, text_col):
+        for part, found in _describe(model, batches, text_col, cached_windows):
             values = model.score(found) if len(found) else np.zeros(0)
             marks = (values >= threshold).astype("int32")
             columns = [part.column(c) for c in kept]
