@@ -31,7 +31,9 @@ def _counted(docs: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic, by a model of all labelled ones among them."""
     model = fit(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    return toxicity(docs, model).where("predicted = 0").select(*COLUMNS)
+    # Later stages need the workers' memory: nothing is remembered beyond a task.
+    scored = toxicity(docs, model, cached_windows=200_000)
+    return scored.where("predicted = 0").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
