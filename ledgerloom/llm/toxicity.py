@@ -259,7 +259,7 @@ def fit(
     calibration = spark.createDataFrame([(x[2], x[3]) for x in checked], "toxic boolean, text binary")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in _describe(model, batches):
+        for part, found in _describe(model, batches, cached=CACHED_WINDOWS):
             yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(found.tolist())], ["toxic", "f"])
 
     # Bounded: at most sample_rows rows of a few numbers.
