@@ -9,6 +9,7 @@ from ledgerloom.functions.base58 import b58encode
 from ledgerloom.functions.borsh import payload_decoder
 from ledgerloom.functions.ids import event_id, swap_bytes
 from ledgerloom.functions.pin import pin
+from ledgerloom.functions.wire import typed_payload
 from ledgerloom.operators.attribution import attribute, match_events
 from ledgerloom.schemas import EVENTS, UNKNOWN
 from ledgerloom.sources.catalog import Catalog
@@ -149,3 +150,23 @@ def decode_fixed(df: DataFrame, layout: list[tuple[str, str]], raw: str = "raw")
     return pin(df, "_stored", stored).select(
         *df.columns, *[little_endian(F.col(f"_stored.{n}"), kind).alias(n) for n, kind, _ in fields]
     )
+
+
+def decode_typed(df: DataFrame, event_type: str, types: dict, raw: str = "raw") -> DataFrame:
+    """Decode payloads of one event of any layout without leaving the JVM.
+
+    Adds one typed column for each field, ``reason`` as in ``decode`` (null for a whole event) and
+    nothing else. Fields of a row with a reason are null, those of a null payload likewise. Keys stay
+    binary; ``encode_keys`` turns them into base58. Layouts that hold themselves are refused.
+    """
+    read = pin(df, "_read", typed_payload(F.col(raw), event_type, types))
+    left = F.col("_read.trailing_bytes")
+    reason = F.when(
+        F.col("_read.error").isNotNull(), F.concat(F.lit("decode-error: "), F.col("_read.error"))
+    ).when(left > 0, F.concat(F.lit("schema-drift-trailing-bytes:"), left.cast("string")))
+    names = [name or f"_{i}" for i, (name, _) in enumerate(types[event_type][1])]
+    return read.select(
+        *df.columns,
+        *[F.when(reason.isNull(), F.col("_read.value").getField(n)).alias(n) for n in names],
+        reason.alias("reason"),
+    )

@@ -363,6 +363,63 @@ SELECT l_partkey AS part, count(*) AS n, CAST(sum(l_suppkey) AS VARCHAR) AS sum_
   CAST(sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS VARCHAR) AS sum_open
 FROM lineitem GROUP BY ALL"""
 
+# Samples: the values of an order, its payload's size, and the rule its key breaks.
+SAMPLES = """
+values_of AS (
+  SELECT o_orderkey, o_orderkey % 13 AS broken, o_custkey, o_orderkey % 3 AS third, o_orderkey * 1000003 AS id,
+    CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority || 'é' END AS note,
+    list_transform(range(o_orderkey % 4), lambda i: o_orderstatus || i) AS tags,
+    list_transform(range(o_orderkey % 3), lambda i: CAST(o_custkey + i AS VARCHAR)) AS counts,
+    o_custkey % 65536 || ',1,65535' AS triple, -o_custkey AS pair_number, o_orderkey % 2 = 0 AS pair_flag,
+    -(o_orderkey % 100) AS bps, o_orderpriority AS owner, o_orderstatus, -o_orderkey AS named
+  FROM orders),
+sized AS (
+  SELECT *, 8 + (CASE WHEN third = 0 THEN 1 ELSE 7 + strlen(owner) END)
+    + 4 + CAST(coalesce(list_sum(list_transform(tags, lambda t: 4 + strlen(t))), 0) AS BIGINT) + 4 + 4 * third
+    + 6 + 5 + 6 + strlen(owner) + (CASE third WHEN 0 THEN 1 WHEN 1 THEN 9 ELSE 6 + strlen(o_orderstatus) END) + 16 AS last
+  FROM values_of),
+samples AS (
+  SELECT *, CASE broken
+    WHEN 1 THEN 'decode-error: buffer underrun: need 16 bytes at offset ' || last || ', only 15 remain'
+    WHEN 2 THEN 'schema-drift-trailing-bytes:1'
+    WHEN 3 THEN 'decode-error: invalid Option tag 2'
+    WHEN 4 THEN 'decode-error: invalid bool byte 7'
+    WHEN 5 THEN 'decode-error: enum Choice: invalid variant 9'
+    WHEN 6 THEN 'decode-error: refusing implausible vector length 1000001'
+    WHEN 7 THEN 'decode-error: string length 99999 exceeds remaining buffer'
+    WHEN 8 THEN 'decode-error: invalid UTF-8 in string' END AS reason
+  FROM sized)"""
+
+ORACLE["decode_typed_columns"] = f"""
+WITH {SAMPLES}, whole AS (SELECT * FROM samples WHERE reason IS NULL)
+SELECT s.o_orderkey, s.reason, CAST(w.id AS VARCHAR) AS id, w.note,
+  CASE WHEN w.id IS NOT NULL THEN coalesce(array_to_string(w.tags, ','), '') END AS tags,
+  CASE WHEN w.id IS NOT NULL THEN coalesce(array_to_string(w.counts, ','), '') END AS counts,
+  w.triple, w.pair_number, w.pair_flag, w.bps, w.owner,
+  CASE w.third WHEN 0 THEN 'None' WHEN 1 THEN 'Named' WHEN 2 THEN 'Pair' END AS variant,
+  CASE WHEN w.third = 1 THEN w.named END AS named,
+  CASE WHEN w.third = 2 THEN w.o_orderkey % 256 END AS pair_byte,
+  CASE WHEN w.third = 2 THEN w.o_orderstatus END AS pair_text,
+  CAST(w.o_orderkey AS VARCHAR) AS big_high, CAST(w.o_custkey AS VARCHAR) AS big_low,
+  CAST(-w.o_orderkey - 1 AS VARCHAR) AS low_high, CAST(w.o_custkey AS VARCHAR) AS low_low
+FROM samples s LEFT JOIN whole w USING (o_orderkey)"""
+
+ORACLE["decode_nested"] = f"""
+WITH {SAMPLES}
+SELECT o_orderkey, reason, CASE WHEN reason IS NULL THEN
+  '{{"big":' || (CAST(o_orderkey AS HUGEINT) * 18446744073709551616 + o_custkey)
+  || ',"choice":{{' || (CASE third WHEN 0 THEN '' WHEN 1 THEN '"fields":{{"a":' || named || '}},'
+    ELSE '"fields":[' || o_orderkey % 256 || ',"' || o_orderstatus || '"],' END)
+  || '"variant":"' || (CASE third WHEN 0 THEN 'None' WHEN 1 THEN 'Named' ELSE 'Pair' END)
+  || '"}},"counts":[' || coalesce(array_to_string(counts, ','), '') || '],"id":' || id
+  || ',"low":' || (CAST(-o_orderkey - 1 AS HUGEINT) * 18446744073709551616 + o_custkey)
+  || ',"note":' || coalesce('"' || note || '"', 'null')
+  || ',"pair":[' || pair_number || ',' || CAST(pair_flag AS VARCHAR)
+  || '],"share":{{"bps":' || bps || ',"owner":"' || lower(hex(owner))
+  || '"}},"tags":[' || coalesce(array_to_string(list_transform(tags, lambda t: '"' || t || '"'), ','), '')
+  || '],"triple":[' || triple || ']}}' END AS payload_json
+FROM samples"""
+
 ORACLE["base58_keys"] = f"""
 SELECT o_orderkey, {_b58('(o_orderkey * 1000003 + o_custkey)', 16)} AS key FROM orders"""
 

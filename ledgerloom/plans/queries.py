@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.ids import event_id, partition_date, received_hour
 from ledgerloom.operators import dedupe, frames, labels, metrics, pit, profile, recovery, scrub
 from ledgerloom.operators.attribution import attribute
-from ledgerloom.operators.decode import decode, decode_fixed, encode_keys, events_of, quarantine_of
+from ledgerloom.operators.decode import decode, decode_fixed, decode_typed, encode_keys, events_of, quarantine_of
 from ledgerloom.operators.normalize import normalize, normalize_errors, route
 from ledgerloom.operators.sinks import append_raw, write_captures, write_dataset
 from ledgerloom.plans import views
@@ -460,6 +460,42 @@ def decode_fixed_width(spark, sf_dir):
     )
 
 
+@query
+def decode_typed_columns(spark, sf_dir):
+    """Payloads of every kind of wire type, and eight kinds of broken ones, as typed columns."""
+    rows = decode_typed(views.samples(spark, sf_dir), "Sample", views.SAMPLE_TYPES)
+    wide = [F.col(f"{n}.{h}").cast("string").alias(f"{n}_{h}") for n in ("big", "low") for h in ("high", "low")]
+    return rows.select(
+        "o_orderkey", "reason", F.col("id").cast("string").alias("id"), "note",
+        F.array_join("tags", ",").alias("tags"),
+        F.array_join(F.col("counts").cast("array<string>"), ",").alias("counts"),
+        F.array_join(F.col("triple").cast("array<string>"), ",").alias("triple"),
+        F.col("pair._0").alias("pair_number"), F.col("pair._1").alias("pair_flag"),
+        F.col("share.bps").alias("bps"), F.col("share.owner").cast("string").alias("owner"),
+        F.col("choice.variant").alias("variant"), F.col("choice.Named.a").alias("named"),
+        F.col("choice.Pair._0").alias("pair_byte"), F.col("choice.Pair._1").alias("pair_text"), *wide,
+    )
+
+
+@query
+def decode_nested(spark, sf_dir):
+    """The same payloads as log lines through attribution and the codec: JSON, or why there is none."""
+    rows = views.samples(spark, sf_dir)
+    lines = F.array(
+        F.lit(f"Program {views.SAMPLER} invoke [1]"), views.data_line(F.hex("raw")), F.lit(f"Program {views.SAMPLER} success")
+    )
+    envelopes = rows.select(
+        F.col("o_orderkey").cast("string").alias("signature"), F.lit(False).alias("failed"), lines.alias("logs"),
+        F.lit(5).cast("bigint").alias("slot"), F.lit(None).cast("bigint").alias("block_time"),
+        F.lit(None).cast("int").alias("transaction_index"), F.timestamp_seconds(F.lit(0)).alias("received_at"),
+    )
+    decoded = decode(envelopes, views.sampler_catalog(spark))
+    return decoded.select(
+        F.col("signature").cast("bigint").alias("o_orderkey"), "reason",
+        F.when(F.col("reason").isNull(), F.col("decoded.payload_json")).alias("payload_json"),
+    )
+
+
 @query
 def base58_keys(spark, sf_dir):
     """Base58 of 16-byte keys with leading zero bytes."""

@@ -8,6 +8,7 @@ the engines name differently.
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -451,3 +452,62 @@ def lifecycle_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(0).cast("bigint").alias("b"),
         ).alias("replay_order"),
     )
+
+
+# A layout with every kind of wire type, under a program of its own.
+SAMPLER = "SampLerProgram1111"
+SAMPLE_TYPES = {
+    "Sample": ("struct", [
+        ("id", "u64"), ("note", {"option": "string"}), ("tags", {"vec": "string"}), ("counts", {"vec": "u32"}),
+        ("triple", {"array": ["u16", 3]}), ("pair", {"tuple": ["i32", "bool"]}), ("share", {"defined": "Share"}),
+        ("choice", {"defined": "Choice"}), ("big", "u128"), ("low", "i128"),
+    ]),
+    "Share": ("struct", [("bps", "i16"), ("owner", "bytes")]),
+    "Choice": ("enum", [("None", []), ("Named", [("a", "i64")]), ("Pair", [(None, "u8"), (None, "string")])]),
+}
+
+
+def sampler_catalog(spark: SparkSession) -> Catalog:
+    fields = []
+    for name, (kind, members) in SAMPLE_TYPES.items():
+        for i, (member, spec) in enumerate(members):
+            if kind == "enum":
+                spec = [{"name": n, "type": t} if n else t for n, t in spec]
+            fields.append((SAMPLER, name, kind, i, member, json.dumps(spec)))
+    return catalog_of(spark, [("sampler", SAMPLER, "Sample", bytearray(discriminator("Sample")))], fields)
+
+
+def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(o_orderkey, raw) per order; the key modulo 13 breaks one rule of the layout in 1 to 8."""
+    key, cust, status, priority = (F.col(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+
+    def broken(n: int, bad: str, good: Column) -> Column:
+        return F.when(key % 13 == n, bad).otherwise(good)
+
+    def vector(count: Column, item) -> Column:
+        numbers = F.filter(F.sequence(F.lit(0), F.lit(3)), lambda i: i < count)
+        return F.concat(little_endian_hex(count, 4), F.array_join(F.transform(numbers, item), ""))
+
+    text = F.concat(priority, F.lit("é"))
+    note = F.when(key % 3 == 0, "00").otherwise(F.concat(F.lit("01"), _encode("string", text)))
+    choice = (
+        F.when(key % 3 == 0, "00")
+        .when(key % 3 == 1, F.concat(F.lit("01"), little_endian_hex(-key, 8)))
+        .otherwise(F.concat(F.lit("02"), little_endian_hex(key % 256, 1), _encode("string", status)))
+    )
+    body = F.concat(
+        F.lit(discriminator("Sample").hex()),
+        little_endian_hex(key * 1000003, 8),
+        broken(3, "02", broken(7, "019F860100", broken(8, "0102000000FFFE", note))),
+        vector(key % 4, lambda i: _encode("string", F.concat(status, i.cast("string")))),
+        broken(6, "41420F00", vector(key % 3, lambda i: little_endian_hex(cust + i, 4))),
+        little_endian_hex(cust % 65536, 2), F.lit("0100FFFF"),
+        little_endian_hex(-cust, 4), broken(4, "07", _encode("bool", key % 2 == 0)),
+        little_endian_hex(-(key % 100), 2), _encode("string", priority),
+        broken(5, "09", choice),
+        little_endian_hex(cust, 8), little_endian_hex(key, 8),
+        little_endian_hex(cust, 8), little_endian_hex(-key - 1, 8),
+        broken(2, "00", F.lit("")),
+    )
+    cut = F.when(key % 13 == 1, F.substring(body, F.lit(1), F.length(body) - 2)).otherwise(body)
+    return spread(table(spark, sf_dir, "orders")).select("o_orderkey", F.unhex(cut).alias("raw"))

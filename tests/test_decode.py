@@ -1,10 +1,11 @@
 import json
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.borsh import decode_payloads
 from ledgerloom.operators.attribution import attribute
-from ledgerloom.operators.decode import decode, decode_fixed, events_of, quarantine_of
+from ledgerloom.operators.decode import decode, decode_fixed, decode_typed, events_of, quarantine_of
 from ledgerloom.sources.catalog import (
     catalog_inventory,
     diff_catalogs,
@@ -240,3 +241,112 @@ def test_protocol_selection():
     for bad in ("", " , ", "pump,other"):
         with pytest.raises(ValueError):
             select_protocols(bad)
+
+
+def _flat(value, spec, types):
+    """A typed value in the form of the codec's JSON."""
+    if value is None:
+        return None
+    if isinstance(spec, str):
+        if spec in ("u128", "i128"):
+            return (int(value["high"]) << 64) + int(value["low"])
+        if spec in ("bytes", "pubkey"):
+            return bytes(value).hex() if spec == "bytes" else b58(bytes(value))
+        return int(value) if spec[0] in "ui" else value
+    if "option" in spec:
+        return _flat(value, spec["option"], types)
+    if "vec" in spec or "array" in spec:
+        inner = spec["vec"] if "vec" in spec else spec["array"][0]
+        return [_flat(v, inner, types) for v in value]
+    if "tuple" in spec:
+        return [_flat(v, s, types) for v, s in zip(value, spec["tuple"], strict=True)]
+    kind, members = types[spec["defined"]["name"] if isinstance(spec["defined"], dict) else spec["defined"]]
+    if kind == "struct":
+        return _members(value, members, types)
+    fields = dict(members)[value["variant"]]
+    out = {"variant": value["variant"]}
+    return out | ({"fields": _members(value[value["variant"]], fields, types)} if fields else {})
+
+
+def _members(value, members, types):
+    if members and members[0][0] is None:
+        return [_flat(v, t, types) for v, (_, t) in zip(value, members, strict=True)]
+    return {n: _flat(value[n], t, types) for n, t in members}
+
+
+def b58(raw):
+    from ledgerloom.functions.base58 import encode_matrix
+
+    return encode_matrix(np.frombuffer(raw, dtype=np.uint8).reshape(1, -1))[0]
+
+
+def _typed(spark, event, types, bodies):
+    """(JSON value or None, reason) for each payload."""
+    df = spark.createDataFrame([(i, bytearray(b"DISCRIMI" + b)) for i, b in enumerate(bodies)], "i int, raw binary")
+    rows = sorted(decode_typed(df, event, types).collect(), key=lambda r: r.i)
+    members = types[event][1]
+    return [(None if r.reason else _members(r, members, types), r.reason) for r in rows]
+
+
+def _codec(event, types, bodies):
+    out = []
+    for r in decode_payloads(event, bodies, types):
+        if r["error"] is not None:
+            out.append((None, f"decode-error: {r['error']}"))
+        elif r["trailing_bytes"]:
+            out.append((None, f"schema-drift-trailing-bytes:{r['trailing_bytes']}"))
+        else:
+            out.append((json.loads(r["payload_json"]), None))
+    return out
+
+
+def test_typed_columns_equal_the_codec_on_every_type_and_every_cut(spark, catalog):
+    types = catalog.layouts[PUMP]
+    whole = payload("pump", "EveryType", EVERY)[8:]
+    bodies = [whole[:n] for n in range(len(whole) + 1)] + [whole + b"!", whole.replace("é".encode(), b"\xff\xfe")]
+    got = _typed(spark, "EveryType", types, bodies)
+    assert got == _codec("EveryType", types, bodies)
+    assert got[len(whole)][0] == EVERY_OUT
+
+
+def test_typed_columns_equal_the_codec_on_broken_bytes(spark, catalog):
+    import random
+
+    rng = random.Random(11)
+    types = catalog.layouts[PUMP]
+    whole = payload("pump", "EveryType", EVERY)[8:]
+    bodies = []
+    for _ in range(400):
+        body = bytearray(whole)
+        for _ in range(rng.randrange(1, 4)):
+            body[rng.randrange(len(body))] = rng.choice((0, 1, 2, 9, 128, 255))
+        bodies.append(bytes(body))
+    assert _typed(spark, "EveryType", types, bodies) == _codec("EveryType", types, bodies)
+
+
+def test_typed_columns_of_odd_layouts(spark):
+    import pytest
+
+    types = {
+        "E": ("struct", [("a", {"vec": {"option": {"tuple": ["u8", "bool"]}}}), ("b", {"vec": "u64"}), ("c", {"vec": {"defined": "N"}})]),
+        "N": ("struct", []),
+        "X": ("struct", [("f", "f32")]), "Y": ("struct", [("m", {"map": 1})]), "Z": ("struct", [("d", {"defined": "Gone"})]),
+        "L": ("struct", [("next", {"option": {"defined": "L"}})]),
+    }
+    four = [n.to_bytes(4, "little") for n in range(4)]
+    bodies = [
+        b"", four[0] * 3, four[2] + b"\0\1\5\1" + four[1] + b"\xff" * 8 + four[3], four[2] + b"\0\1\5\7",
+        four[0] + four[3] + b"\1" * 17, four[0] * 2 + (1_000_001).to_bytes(4, "little"), b"\xff" * 4, four[3] + b"\0\0",
+    ]
+    fine = _typed(spark, "E", types, bodies)
+    want = _codec("E", types, bodies)
+    assert [r for _, r in fine] == [r for _, r in want]
+    df = spark.createDataFrame([(bytearray(b"DISCRIMI" + bodies[2]),), (None,)], "raw binary")
+    full, none = sorted(decode_typed(df, "E", types).collect(), key=lambda r: r.raw is None)
+    assert full.a == [None, (5, True)] and [int(v) for v in full.b] == [2**64 - 1] and full.c == [True] * 3
+    assert (none.a, none.b, none.c, none.reason) == (None,) * 4
+    for event in "XYZ":
+        assert [r for _, r in _typed(spark, event, types, [b""])] == [r for _, r in _codec(event, types, [b""])]
+    with pytest.raises(ValueError, match="holds itself"):
+        decode_typed(df, "L", types)
+    assert "Python" not in decode_typed(df, "E", types)._jdf.queryExecution().toString()
