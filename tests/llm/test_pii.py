@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from ledgerloom.llm.pii import KINDS, personal_data
+from ledgerloom.llm.pii import BLOCK, CONFIDENCE, EDGES, GROUP, GROUPS, KINDS, ROUNDS, SELECTIVE, SUPPORT, personal_data
 from tests.llm.rows import frame, odd, prose
 
 PATTERNS = [
@@ -66,6 +66,97 @@ def test_rare_contexts_discover_nothing(spark):
     assert not [r for r in personal_data(frame(spark, rows)).collect() if r.id == 3 and r.spans]
 
 
+def plain_contexts(words, i):
+    names = [re.sub("[0-9]+", "#", w.lower()) for w in words[max(0, i - 2) : i]]
+    return ([(names[-1],)] if names else []) + ([tuple(names)] if len(names) == 2 else [])
+
+
+def plain_spans(rows):
+    """All finds of each row, discovered ones too, without Spark and with exact counts."""
+    seeds, opened, behind = {}, {}, {}
+    group = re.compile(GROUP)
+    texts = [(i, t or "") for i, t in rows]
+    for n, (_, text) in enumerate(texts):
+        marks = list(re.finditer(r"[^\x20\x09-\x0D]+", text))
+        words = [m[0] for m in marks]
+        covered = set()
+        for kind, start, end in base(text):
+            at = [j for j, m in enumerate(marks) if m.start() < end and start < m.end()]
+            covered |= set(at)
+            for p in plain_contexts(words, at[0]):
+                seeds.setdefault(p, {}).setdefault(text[start:end].lower(), set()).add(kind)
+        for j, word in enumerate(words):
+            for p in plain_contexts(words, j):
+                behind.setdefault(p, set()).add(word.strip(EDGES).lower())
+
+        def grouped(j):
+            return 0 <= j < len(words) and bool(group.match(words[j].strip(",;:!?")))
+
+        def joined(j):
+            return grouped(j - 1) and grouped(j) and text[marks[j - 1].end() : marks[j].start()] == " " and words[j - 1][-1] in "0123456789)"
+
+        for j in range(len(words)):
+            if joined(j):
+                continue
+            last = j
+            while grouped(j) and last - j < GROUPS - 1 and joined(last + 1):
+                last += 1
+            value = text[marks[j].start() : marks[last].end()]
+            start = marks[j].start() + len(value) - len(value.lstrip(EDGES))
+            if value.strip(EDGES) and not covered & set(range(j, last + 1)):
+                for p in plain_contexts(words, j):
+                    opened.setdefault(p, []).append((n, start, value.strip(EDGES)))
+    known = [p for p in seeds if len(seeds[p]) >= SUPPORT and len(seeds[p]) >= SELECTIVE * len(behind[p])]
+    edges = {(p, v): [float(k in ks) for k in range(4)] for p in known for v, ks in seeds[p].items()}
+    free = {(p, v.lower()) for p in known for _, _, v in opened.get(p, [])} - set(edges)
+    edges |= {e: [0.0] * 4 for e in free}
+
+    def score():
+        sums = {}
+        for (p, _), s in edges.items():
+            n, t = sums.get(p, (0, [0.0] * 4))
+            sums[p] = (n + 1, [a + b for a, b in zip(t, s)])
+        return {p: [x / (n + 0.5) if x >= SUPPORT else 0.0 for x in t] for p, (n, t) in sums.items()}
+
+    for _ in range(ROUNDS):
+        c = score()
+        for p, v in free:
+            doubt = [1.0] * 4
+            for q, w in free:
+                if w == v and q != p:
+                    doubt = [d * (1 - min(x, 0.999)) for d, x in zip(doubt, c[q])]
+            edges[p, v] = [1 - d for d in doubt]
+    trusted = {p: (max(c), c.index(max(c))) for p, c in score().items() if max(c) >= CONFIDENCE}
+    best = {}
+    for p, (confidence, kind) in trusted.items():
+        for n, start, value in opened.get(p, []):
+            best.setdefault((n, start, value), []).append((confidence, -kind))
+    out = [[i, [(k, s, e, t[s:e]) for k, s, e in base(t)]] for i, t in texts]
+    for (n, start, value), found in best.items():
+        out[n][1].append((-max(found)[1], start, start + len(value), value))
+    return sorted([(i, sorted(spans)) for i, spans in out], key=str)
+
+
+def test_all_finds_equal_a_plain_version(spark):
+    rows = [(i, f"{prose(i, i % 5 * 40)} Reach me by  mail: user{i}@host{i}.example.com, or {prose(900 + i, 5)}") for i in range(14)]
+    rows += [(50 + i, f"{prose(i, BLOCK - 3 + i)} please call +1 (743) 555-{3824 + i} {prose(i, 3)}\nsee 10.0.0.{i} and 10.1.0.{i}") for i in range(14)]
+    rows += [
+        (100, f"{prose(1, 2 * BLOCK)} reach me by mail: jane(at)host.example. {prose(2, 4)}"),
+        (101, "please call 0555 123 4567, or please call (0555) 123 4567 12  99 now"), (102, "please\tcall\n0555"),
+        (103, "please call " + " ".join(["12"] * 50)), (104, "please call ... and please call +1 (743) 555-9999 77"),
+        (105, "mail: x é😀 mail: münchen@ü mail: (bob.at.home)"), (101, "please call 0555 123 4567, or please call (0555) 123 4567 12  99 now"),
+        (None, "please call 0666 12"), (106, "please call"), (107, "please"),
+    ] + odd(300)
+    got = sorted(((r.id, [tuple(s) for s in r.spans]) for r in personal_data(frame(spark, rows)).collect()), key=str)
+    want = plain_spans(rows)
+    assert got == want
+    values = {}
+    for i, spans in got:
+        values.setdefault(i, set()).update(v for *_, v in spans)
+    assert "jane(at)host.example" in values[100]
+    assert {"0555 123 4567", "0555) 123 4567 12"} <= values[101] and "0555" in values[102] and "0666 12" in values[None]
+
+
 def test_empty_table(spark):
     assert personal_data(frame(spark, [])).count() == 0
     assert hashlib.sha256(b"").hexdigest() == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
