@@ -214,13 +214,26 @@ def _behind(names: Column, make) -> Column:
     return F.flatten(F.transform(here, of))
 
 
-def followers(blocks: DataFrame) -> DataFrame:
-    """(pattern, value) for every word that has one before it."""
-    def pair(pattern: Column, i: Column) -> Column:
-        value = F.xxhash64(F.lower(F.btrim(F.get("words", i), F.lit(EDGES))))
-        return F.struct(pattern.alias("pattern"), value.alias("value"))
+def followers(texts: DataFrame) -> DataFrame:
+    """(pattern, value) for every word that has one before it; hashed in compiled code, word by word."""
+    nothing = F.lit(None).cast("string")
+
+    def lagged(all_words: Column) -> Column:
+        return let(
+            F.transform(all_words, _plain),
+            lambda names: F.arrays_zip(
+                F.concat(F.array(nothing, nothing), names).alias("before"),
+                F.concat(F.array(nothing), names).alias("last"),
+                all_words.alias("word"),
+            ),
+        )
 
-    return blocks.select(F.inline(let(F.transform("words", _plain), lambda names: _behind(names, pair))))
+    kind = "array<struct<before:string,last:string,word:string>>"
+    lined = texts.select(F.inline(let(words(F.col("text")), lagged).cast(kind))).where("word IS NOT NULL AND last IS NOT NULL")
+    value = F.xxhash64(F.lower(F.btrim("word", F.lit(EDGES))))
+    two = F.when(F.col("before").isNotNull(), F.xxhash64("before", "last"))
+    patterns = F.explode(F.array(F.xxhash64("last"), two))
+    return lined.select(patterns.alias("pattern"), value.alias("value")).where("pattern IS NOT NULL")
 
 
 def open_instances(blocks: DataFrame, selective: DataFrame) -> DataFrame:
@@ -323,7 +336,7 @@ def trusted_patterns(instances: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return _score(edges).where(best >= CONFIDENCE).select("pattern", kind.alias("found"), best.alias("confidence"))
 
 
-def selective_patterns(seeds: DataFrame, blocks: DataFrame) -> DataFrame:
+def selective_patterns(seeds: DataFrame, texts: DataFrame) -> DataFrame:
     """Patterns with enough different seeds, which are no small share of what stands behind them.
 
     What stands behind a pattern is counted by a sketch, which takes about five percent of error.
@@ -331,7 +344,7 @@ def selective_patterns(seeds: DataFrame, blocks: DataFrame) -> DataFrame:
     counted = seeds.groupBy("pattern", "value").agg(F.lit(1).alias("one")).groupBy("pattern")
     supported = materialize(counted.agg(F.count(F.lit(1)).alias("seeds")).where(F.col("seeds") >= SUPPORT), "supported")
     side = broadcast_within(supported, supported.count())
-    behind = followers(blocks).join(side, "pattern").groupBy("pattern", "seeds").agg(
+    behind = followers(texts).join(side, "pattern").groupBy("pattern", "seeds").agg(
         F.approx_count_distinct("value").alias("followers")
     )
     return materialize(behind.where(F.col("seeds") >= SELECTIVE * F.col("followers")).select("pattern"), "selective")
@@ -352,7 +365,7 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     finds = rows.select("id", "doc", F.inline("base"))
     seeds = finds.select("kind", F.lower("value").alias("value"), F.explode("patterns").alias("pattern"))
     blocks = text_blocks(texts)
-    selective = selective_patterns(seeds, blocks)
+    selective = selective_patterns(seeds, texts)
     side = broadcast_within(selective, selective.count())
     covered = finds.select("id", "doc", F.explode(F.sequence("word", "last")).alias("word")).distinct()
     free = materialize(open_instances(blocks, side).distinct(), "open")
