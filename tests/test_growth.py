@@ -23,3 +23,29 @@ def test_json_by_column_is_canonical():
     texts, errors, left = decode_columns("E", [raw, b"\1"], {"E": ("struct", fields)})
     assert texts[0] == canonical_json({"b": 'é"\n', "a": 2**64 - 1, "c%": True}) and json.loads(texts[0])["a"] == 2**64 - 1
     assert texts[1] is None and errors[1].startswith("buffer underrun") and left == [0, None]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_first_copies_are_chosen_before_logs_are_written(spark):
+    from ledgerloom.plans import queries
+
+    for first in (queries._first_trades, queries._first_lifecycles):
+        plan = _plan(first(spark, "/root/testdata/sf0.001"))
+        grouped = plan[plan.index("Aggregate") :]
+        assert "Program data: " in plan and "Program data: " not in grouped
+
+
+def test_decoded_rows_are_written_without_a_shuffle_of_their_own(spark, tmp_path):
+    from ledgerloom.plans import queries, views
+    from ledgerloom.plans.rebuild import derive_first, write_version
+
+    first = queries._first_lifecycles(spark, "/root/testdata/sf0.001")
+    rows = derive_first(first, views.ledger_catalog(spark))
+    plan = _plan(rows)
+    assert "RebalancePartitions" in plan[plan.index("_hits") :]
+    write_version(spark, rows, str(tmp_path / "v"))
+    written = spark.read.parquet(str(tmp_path / "v"))
+    assert written.filter("dataset = 'tokens'").count() == first.filter("NOT failed").count()
