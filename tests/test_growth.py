@@ -49,3 +49,14 @@ def test_decoded_rows_are_written_without_a_shuffle_of_their_own(spark, tmp_path
     write_version(spark, rows, str(tmp_path / "v"))
     written = spark.read.parquet(str(tmp_path / "v"))
     assert written.filter("dataset = 'tokens'").count() == first.filter("NOT failed").count()
+
+
+def test_known_secrets_are_replaced_in_turn_outside_the_expression_fold(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import scrub
+
+    texts = spark.createDataFrame([("ab DE b",), ("",), (None,)], "t string")
+    clean = texts.select(scrub.remove_known_secrets(F.col("t"), [("ab", "D"), ("", "x"), ("D", "<D>"), ("b", "c")]).alias("c"))
+    assert "aggregate(" not in _plan(clean)
+    assert [r.c for r in clean.collect()] == ["<D> <D>E c", "", None]
