@@ -60,3 +60,35 @@ def test_known_secrets_are_replaced_in_turn_outside_the_expression_fold(spark):
     clean = texts.select(scrub.remove_known_secrets(F.col("t"), [("ab", "D"), ("", "x"), ("D", "<D>"), ("b", "c")]).alias("c"))
     assert "aggregate(" not in _plan(clean)
     assert [r.c for r in clean.collect()] == ["<D> <D>E c", "", None]
+
+
+def test_a_batch_of_a_stream_is_planned_as_an_ordinary_job(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.streaming.firsts import keys_of, run, with_new_keys
+
+    spark.range(400).select(F.col("id").cast("string").alias("k")).repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k string").parquet(str(tmp_path / "in"))
+    names = ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")
+    outside, seen = [spark.conf.get(n) for n in names], []
+
+    def process(rows, batch_id, batch):
+        seen.append(([rows.sparkSession.conf.get(n) for n in names], batch.filter("_kind = 'x'").count()))
+        folder = rows.withColumn("p", F.col("k").cast("int") % 2)
+        folder.repartition(8).hint("rebalance", "p").write.partitionBy("p").parquet(str(tmp_path / f"out{batch_id}"))
+
+    run(with_new_keys(stream, keys_of(stream, {"x": ["k"]})), process, str(tmp_path / "offsets")).awaitTermination()
+    assert seen == [(["true", outside[1]], 400)]
+    assert [spark.conf.get(n) for n in names] == outside
+    assert len(list((tmp_path / "out0").rglob("*.parquet"))) == 2
+    # keyed state has as many partitions as cores ask for, whatever jobs shuffle into
+    stores = [p for p in (tmp_path / "offsets" / "state" / "0").iterdir() if p.name.isdigit()]
+    assert len(stores) == 2 * spark.sparkContext.defaultParallelism
+
+
+def test_tasks_stay_small_when_logs_are_decoded(spark):
+    from ledgerloom.session import prepare
+
+    conf = prepare(spark).conf
+    assert conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "2m"
+    assert conf.get("spark.sql.files.maxPartitionBytes") == "32m"
