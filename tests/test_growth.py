@@ -92,3 +92,14 @@ def test_tasks_stay_small_when_logs_are_decoded(spark):
     conf = prepare(spark).conf
     assert conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "2m"
     assert conf.get("spark.sql.files.maxPartitionBytes") == "32m"
+
+
+def test_first_copies_are_chosen_among_plain_columns_only(spark):
+    from ledgerloom.plans import queries
+
+    for first, derived in ((queries._first_trades, "user_key"), (queries._first_lifecycles, "pool_key")):
+        plan = _plan(first(spark, "/root/testdata/sf0.001"))
+        grouped = plan[plan.index("Aggregate") :]
+        assert derived in plan and derived not in grouped
+        # the key travels beside the row that is kept, not in it as well
+        assert "min_by(struct(signature" not in grouped and "named_struct(signature" not in grouped
