@@ -103,3 +103,19 @@ def test_first_copies_are_chosen_among_plain_columns_only(spark):
         assert derived in plan and derived not in grouped
         # the key travels beside the row that is kept, not in it as well
         assert "min_by(struct(signature" not in grouped and "named_struct(signature" not in grouped
+
+
+def test_logs_are_read_once_and_rows_are_doubled_after_they_are_typed(spark, tmp_path):
+    from ledgerloom.operators.normalize import with_typed_rows
+    from ledgerloom.plans import queries, views
+    from ledgerloom.plans.rebuild import derive_first, write_version
+
+    first = queries._first_lifecycles(spark, "/root/testdata/sf0.001")
+    rows = with_typed_rows(derive_first(first, views.ledger_catalog(spark)))
+    plan = _plan(rows)
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("Generate ") == 2
+    # a question about the result does not move the parsing of payloads
+    asked = _plan(rows.filter("dataset = 'tokens' AND mint IS NOT NULL"))
+    assert asked.count("from_json") == plan.count("from_json") == 1
+    write_version(spark, derive_first(first, views.ledger_catalog(spark)), str(tmp_path / "v"))
+    assert spark.read.parquet(str(tmp_path / "v")).count() == rows.count()
