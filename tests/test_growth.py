@@ -1,6 +1,7 @@
 """Steps that must not grow faster than their input."""
 
 import json
+import os
 
 from ledgerloom.functions.borsh import canonical_json, decode_columns
 from ledgerloom.functions.loglines import data_lines, strict_base64
@@ -119,3 +120,39 @@ def test_logs_are_read_once_and_rows_are_doubled_after_they_are_typed(spark, tmp
     assert asked.count("from_json") == plan.count("from_json") == 1
     write_version(spark, derive_first(first, views.ledger_catalog(spark)), str(tmp_path / "v"))
     assert spark.read.parquet(str(tmp_path / "v")).count() == rows.count()
+
+
+def test_captured_frames_are_kept_compressed_in_files_of_one_task(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.operators import sinks
+    from ledgerloom.sources.raw import read_captures
+
+    monkeypatch.setattr(sinks, "_CAPTURED", 10)
+    rows = spark.range(0, 35, 1, 1).select(
+        F.timestamp_seconds("id").alias("received_at"), F.to_json(F.struct("id")).alias("payload"))
+    sinks.write_captures(rows, str(tmp_path / "cap"))
+    assert len(list((tmp_path / "cap").glob("*.txt.gz"))) == 4 and not list((tmp_path / "cap").glob("*.txt"))
+    assert sorted(read_captures(spark, str(tmp_path / "cap")).collect()) == sorted(rows.collect())
+
+
+def test_a_batch_of_a_stream_is_held_in_files_while_it_is_processed(spark, tmp_path):
+    from ledgerloom.session import scratch_root
+    from ledgerloom.streaming.firsts import keys_of, new_keys, run, with_new_keys
+
+    root = scratch_root(spark).removeprefix("file:") + "/ledgerloom"
+    spark.createDataFrame([("a",), ("a",), ("b",)], "k string").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("k string").parquet(str(tmp_path / "in"))
+    seen = []
+
+    def process(rows, batch_id, batch):
+        # read from the files, nothing is cached whole
+        assert not batch.storageLevel.useMemory and not batch.storageLevel.useDisk
+        files = batch.inputFiles()
+        assert files and all(f"{root}/batch-" in f for f in files)
+        seen.append((sorted(r.k for r in rows.collect()), sorted(r.k for r in new_keys(batch, "x", "k").collect()), files))
+
+    run(with_new_keys(stream, keys_of(stream, {"x": ["k"]})), process, str(tmp_path / "offsets")).awaitTermination()
+    (rows, keys, files), = seen
+    assert rows == ["a", "a", "b"] and keys == ["a", "b"]
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
