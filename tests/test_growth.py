@@ -122,6 +122,29 @@ def test_logs_are_read_once_and_rows_are_doubled_after_they_are_typed(spark, tmp
     assert spark.read.parquet(str(tmp_path / "v")).count() == rows.count()
 
 
+class _Ended:
+    def awaitTermination(self):
+        pass
+
+
+def test_rows_of_a_growing_table_are_made_once(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerloom.plans.queries import _run_in_parts
+
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(value):
+        made.add(1)
+        return value
+
+    rows = spark.range(40).select(counted("id").alias("n"))
+    tables = []
+    _run_in_parts(spark, rows, "n", "grown", lambda stream: tables.append(stream) or _Ended())
+    assert made.value == 40 and len(tables) == 4 and all(t.isStreaming for t in tables)
+
+
 def test_captured_frames_are_kept_compressed_in_files_of_one_task(spark, tmp_path, monkeypatch):
     from pyspark.sql import functions as F
 
